@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The analytics this package rebuilds are batch only: postings are landed, loaded,
+unioned, deduplicated and aggregated in full refreshes, with no watermark, window,
+session or continuous source anywhere.  Nothing is added here on purpose; run the
+batch chain in :mod:`hirelake.plans.pipeline` on a schedule instead.
+"""
