@@ -42,7 +42,7 @@ def parse_date_general(c, epoch_unit: str | None = None) -> Column:
     """
     c = col_of(c)
     t = trim_ws(c.cast("string"))
-    parsed = [parse_iso_date(t)] + [F.try_to_date(t, F.lit(f)) for f in GENERAL_DATE_FORMATS]
+    parsed = [parse_iso_date(t)] + [F.try_to_date(t, f) for f in GENERAL_DATE_FORMATS]
     if epoch_unit:
         div = {"s": 1, "ms": 1000, "us": 1_000_000, "ns": 1_000_000_000}[epoch_unit]
         num = F.when(t.rlike(r"^-?\d+$"), t.cast("long"))

@@ -12,7 +12,9 @@ from pyspark.sql.types import ArrayType, DataType, StringType
 from hirelake.functions.text import blank_to_null, col_of, trim_ws
 from hirelake.functions.vocab import SKILL_ALIASES, SKILL_PATTERNS
 
-EMPTY = F.array().cast(ArrayType(StringType()))
+def empty_list() -> Column:
+    """An empty ``array<string>`` literal."""
+    return F.array().cast(ArrayType(StringType()))
 
 # A complete JSON array whose elements are all scalars (string, number, true,
 # false, null).  Used to gate from_json, which is laxer than a strict parser: it
@@ -49,7 +51,7 @@ def normalize_skills(c, dtype: DataType | None = None) -> Column:
         arr = c.cast(ArrayType(StringType()))
     else:
         arr = json_scalar_array(c)
-    return F.coalesce(clean_list(arr), EMPTY)
+    return F.coalesce(clean_list(arr), empty_list())
 
 
 def skills_text(arr, sep: str = "|") -> Column:
@@ -115,7 +117,7 @@ def extract_taxonomy(title, description, taxonomy=None) -> Column:
 # ----------------------------------------------------------------------------
 
 def _skill_set(arr) -> Column:
-    norm = F.transform(F.coalesce(col_of(arr), EMPTY), lambda x: F.lower(trim_ws(x)))
+    norm = F.transform(F.coalesce(col_of(arr), empty_list()), lambda x: F.lower(trim_ws(x)))
     return F.array_distinct(F.filter(norm, lambda x: x != F.lit("")))
 
 
@@ -137,7 +139,7 @@ def merge_skills(given, extracted) -> Column:
 
     Empty/NULL given -> extracted; both empty -> NULL.
     """
-    g, e = col_of(given), F.coalesce(col_of(extracted), EMPTY)
+    g, e = col_of(given), F.coalesce(col_of(extracted), empty_list())
     g_empty = F.coalesce(F.size(g) == 0, F.lit(True))
     merged = F.when(g_empty, e).otherwise(F.array_distinct(F.concat(g, e)))
     return F.when(F.size(merged) > 0, merged)
@@ -207,4 +209,4 @@ def parse_response_skills(c) -> Column:
     fenced = s.startswith("```")
     body = F.when(fenced, F.regexp_replace(F.regexp_replace(s, _FENCE_CLOSE, ""), _FENCE_OPEN, "")) \
         .otherwise(s)
-    return F.coalesce(clean_list(json_scalar_array(body)), EMPTY)
+    return F.coalesce(clean_list(json_scalar_array(body)), empty_list())

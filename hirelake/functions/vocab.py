@@ -188,3 +188,31 @@ PREVIEW_CHARS = 400
 SNIPPET_CHARS = 200
 COMPARE_SAMPLE = 300
 ENRICH_BATCH = 10
+
+# ---- fixed values: cell texts a pandas CSV read turns into missing values ----
+CSV_NA_VALUES: list[str] = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
+# ---- fixed values: column maps of the 2023 data-engineer CSV ----
+DE_EXACT_COLUMNS: dict[str, str] = {
+    "Job_details": "job_title",
+    "Job_details.1": "job_description",
+    "Company_info": "company_name",
+    "Job_details.4": "location_city",
+    "Job_details.5": "location_state",
+    "Job_details.6": "location_country",
+    "Salary.2": "salary_avg",
+    "Salary.3": "salary_currency",
+}
+DE_NORMALIZED_COLUMNS: dict[str, str] = {
+    "job_title": "job_title",
+    "title": "job_title",
+    "description": "job_description",
+    "desc": "job_description",
+    "location": "location",
+    "company_name": "company_name",
+    "company": "company_name",
+    "salary": "salary_info",
+}

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from hirelake.functions.skills import EMPTY, extract_taxonomy, hybrid_skills, jaccard
+from hirelake.functions.skills import empty_list, extract_taxonomy, hybrid_skills, jaccard
 from hirelake.functions.text import blank_to_null, col_of
 from hirelake.functions.vocab import COMPARE_SAMPLE, SNIPPET_CHARS
 from hirelake.operators.filters import has_title_or_description
@@ -28,7 +28,7 @@ def compare_skills(df: DataFrame, row_id="row_id", title="job_title", descriptio
     """
     t, d = blank_to_null(title), blank_to_null(description)
     tax = extract_taxonomy(t, d, taxonomy)
-    oth = F.coalesce(col_of(other), EMPTY)
+    oth = F.coalesce(col_of(other), empty_list())
     desc = F.coalesce(d, F.lit(""))
     snippet = F.when(F.length(desc) > snippet_chars,
                      F.concat(F.substring(desc, 1, snippet_chars), F.lit("..."))).otherwise(desc)

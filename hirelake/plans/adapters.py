@@ -199,3 +199,86 @@ def register_raw_views(spark: SparkSession, sf_dir: str, names=RAW_TABLES) -> li
     for n in names:
         tables[n].createOrReplaceTempView(n)
     return list(names)
+
+
+# -----------------------------------------------------------------------------
+# File-shaped inputs for the ingestion mappers, derived from documents
+# -----------------------------------------------------------------------------
+
+def linkedin_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a LinkedIn-style CSV (all text columns).
+
+    Headers exercise the substring rules: ``skills_desc`` maps to the
+    description (and overwrites it where present), ``company_id`` overwrites
+    ``company_name``, ``pay_period`` is salary.  Some dates are old (dropped
+    by the recency filter) or unparsable (default date)."""
+    d = read_table(spark, sf_dir, "documents")
+    first, last = doc_words(F.col("text"))
+    i = F.col("doc_id")
+    posted = F.date_add(F.lit("2023-01-01").cast("date"), (i % 900).cast("int"))
+    return d.select(
+        i.cast("string").alias("job_id"),
+        F.col("source").alias("company_name"),
+        F.concat(F.lit("Document "), F.col("source")).alias("title"),
+        F.col("text").alias("description"),
+        F.concat(F.col("lang"), F.lit(" ")).alias("location"),
+        F.when(i % 3 == 0, F.lit("YEARLY")).alias("pay_period"),
+        F.when(i % 41 == 0, F.lit("2019-05-01")).when(i % 37 == 0, F.lit("junk"))
+         .otherwise(F.date_format(posted, "yyyy-MM-dd")).alias("posted_date"),
+        F.concat(F.lit("https://docs.example.com/"), i.cast("string")).alias("job_link"),
+        F.when(i % 5 == 0, F.concat(F.lit("ai "), first)).alias("skills_desc"),
+        F.when(i % 4 == 0, F.concat(F.lit("["), first, F.lit("; "), last, F.lit("]")))
+         .when(i % 4 == 1, F.concat(first, F.lit(", "), last))
+         .when(i % 4 == 2, F.lit(";;"))
+         .alias("skills"),
+        F.when(i % 2 == 0, F.concat(F.lit("C"), (i % 100).cast("string"))).alias("company_id"),
+    )
+
+
+def de_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as the 2023 data-engineer CSV: the exact headers plus an extra
+    'Office location' header (taken by the substring fallback)."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus",
+                                                   "o_totalprice")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    b = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, c.c_nationkey == n.n_nationkey, "left")
+    k = F.col("o_orderkey")
+    return b.select(
+        F.concat(F.col("o_orderpriority"), F.lit(" data engineer")).alias("Job_details"),
+        F.when(k % 5 == 0, F.lit("   ")).otherwise(
+            F.concat(F.col("o_orderstatus"), F.lit(" pipeline with python and sql for "), F.col("c_name")))
+         .alias("Job_details.1"),
+        F.col("c_name").alias("Company_info"),
+        F.when(k % 3 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("Job_details.4"),
+        F.when(k % 4 == 0, F.lit("")).otherwise(F.lit("CA")).alias("Job_details.5"),
+        F.col("n_name").alias("Job_details.6"),
+        F.floor(F.col("o_totalprice") / 10).cast("long").cast("string").alias("Salary.2"),
+        F.when(k % 2 == 0, F.lit("USD")).alias("Salary.3"),
+        F.when(k % 7 == 0, F.lit("Remote")).alias("Office location"),
+    )
+
+
+def hf_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as Hugging Face rows: ISO date strings with offsets, list
+    columns, exact short titles."""
+    d = read_table(spark, sf_dir, "documents")
+    first, last = doc_words(F.col("text"))
+    i = F.col("doc_id")
+    day = F.date_format(F.date_add(F.lit("2023-01-01").cast("date"), (i % 900).cast("int")), "yyyy-MM-dd")
+    shorts = ["Data Engineer", "Data Scientist", "Software Engineer", "Data Analyst", "Cloud Engineer"]
+    short = F.element_at(F.array(*[F.lit(s) for s in shorts]), ((i % 5) + 1).cast("int"))
+    return d.select(
+        F.when(i % 4 == 0, F.concat(day, F.lit("T23:30:00-05:00")))
+         .when(i % 4 == 1, F.concat(day, F.lit(" 08:00:00")))
+         .when(i % 4 == 2, F.concat(day, F.lit(" x")))
+         .otherwise(day).alias("job_posted_date"),
+        F.concat(F.col("source"), F.lit(" role")).alias("job_title"),
+        short.alias("job_title_short"),
+        F.array(F.col("text"), F.lit(" "), F.lit(None).cast("string")).alias("job_type_skills"),
+        F.when(i % 3 == 0, F.array(first, F.lit("  "), last)).when(i % 3 == 1, F.array().cast("array<string>"))
+         .alias("job_skills"),
+        F.col("source").alias("company_name"),
+        F.col("lang").alias("job_location"),
+        F.when(i % 6 != 0, (F.col("n_chars") * F.lit(37.5))).alias("salary_year_avg"),
+    )

@@ -632,3 +632,187 @@ def q_enrich_batches(spark, sf_dir):
     s = std_k(spark, sf_dir).select("row_key", "job_title", "job_description")
     e = enrich(s, title_terms_in_description, batch_size=10)
     return e.select("row_key", SK.skills_text("skills_enriched").alias("skills_enriched"))
+
+
+# =============================================================================
+# Ingestion: mapping file-shaped rows onto the canonical row
+# =============================================================================
+
+INGEST_AS_OF = A.AS_OF_EVENTS
+INGESTED_AT = "2024-02-01 06:00:00"
+ISO_SQL = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+
+
+def _iso_date_sql(x: str) -> str:
+    t = TRIM(x)
+    return f"CASE WHEN regexp_matches({t}, '{ISO_SQL}') THEN TRY_CAST(substr({t}, 1, 10) AS DATE) END"
+
+
+def _ingest_ts():
+    return F.lit(INGESTED_AT).cast("timestamp_ntz")
+
+
+def _mapped_out(df: DataFrame) -> DataFrame:
+    return df.select("source_id", "job_title", "job_description", "company_name", "location",
+                     d2s("posted_date").alias("posted_date"), "job_url",
+                     SK.skills_text("skills").alias("skills"), F.size("skills").cast("long").alias("n_skills"),
+                     "salary_info", ts2s("ingested_at").alias("ingested_at"))
+
+
+LINKEDIN_LIKE_SQL = """
+li AS (
+  SELECT CAST(doc_id AS VARCHAR) AS job_id, source AS company_name, 'Document ' || source AS title,
+    text AS description, lang || ' ' AS location,
+    CASE WHEN doc_id % 3 = 0 THEN 'YEARLY' END AS pay_period,
+    CASE WHEN doc_id % 41 = 0 THEN '2019-05-01' WHEN doc_id % 37 = 0 THEN 'junk'
+         ELSE strftime(DATE '2023-01-01' + CAST(doc_id % 900 AS INTEGER), '%Y-%m-%d') END AS posted_date,
+    'https://docs.example.com/' || CAST(doc_id AS VARCHAR) AS job_link,
+    CASE WHEN doc_id % 5 = 0 THEN 'ai ' || w1 END AS skills_desc,
+    CASE WHEN doc_id % 4 = 0 THEN '[' || w1 || '; ' || w2 || ']'
+         WHEN doc_id % 4 = 1 THEN w1 || ', ' || w2
+         WHEN doc_id % 4 = 2 THEN ';;' END AS skills,
+    CASE WHEN doc_id % 2 = 0 THEN 'C' || CAST(doc_id % 100 AS VARCHAR) END AS company_id
+  FROM doc_words
+)"""
+
+
+def _linkedin_sql() -> str:
+    return with_raw(f""", {LINKEDIN_LIKE_SQL.strip()},
+m AS (
+  SELECT 'kaggle_linkedin_postings' AS source_id, {NB('title')} AS job_title,
+    {NB('coalesce(skills_desc, description)')} AS job_description,
+    {TRIM('coalesce(company_id, company_name)')} AS company_name, {TRIM('location')} AS location,
+    coalesce({_iso_date_sql('posted_date')}, DATE '2023-06-01') AS posted_date,
+    {TRIM('job_link')} AS job_url, {_rule_b_sql('skills')} AS skills, {TRIM('pay_period')} AS salary_info,
+    TIMESTAMP '{INGESTED_AT}' AS ingested_at
+  FROM li
+)
+SELECT source_id, job_title, job_description, company_name, location, {D('posted_date')} AS posted_date, job_url,
+  {J('skills')} AS skills, CAST(len(skills) AS BIGINT) AS n_skills, salary_info, {TS('ingested_at')} AS ingested_at
+FROM m
+WHERE posted_date >= DATE '{INGEST_AS_OF}' - 1095 AND {DOMAIN('job_title', 'job_description', 'skills')}""")
+
+
+@query("map_linkedin_postings", _linkedin_sql())
+def q_map_linkedin_postings(spark, sf_dir):
+    from hirelake.operators.mapping import map_linkedin
+    m = map_linkedin(A.linkedin_like(spark, sf_dir), "postings", as_of=INGEST_AS_OF, ingested_at=_ingest_ts())
+    return _mapped_out(m)
+
+
+@query("ingest_csv_roundtrip", _linkedin_sql())
+def q_ingest_csv_roundtrip(spark, sf_dir):
+    """Write the LinkedIn-shaped rows as a real multi-line CSV file, then run
+    the file path: scan -> header map -> mapping -> filters."""
+    from hirelake.operators.mapping import map_linkedin
+    from hirelake.session import scratch_path
+    from hirelake.sources.files import pick_input_file, read_csv_source
+    folder = scratch_path(spark, "linkedin_csv")
+    A.linkedin_like(spark, sf_dir).write.option("header", True).option("escape", '"').csv(folder)
+    path = pick_input_file(spark, folder, "largest")
+    whole = read_csv_source(spark, folder)
+    assert path.endswith(".csv")
+    m = map_linkedin(whole, "postings", as_of=INGEST_AS_OF, ingested_at=_ingest_ts())
+    return _mapped_out(m)
+
+
+def _de_sql() -> str:
+    loc = (f"coalesce({NB('\"Office location\"')}, nullif(concat_ws(', ', {NB('\"Job_details.4\"')}, "
+           f"{NB('\"Job_details.5\"')}, {NB('\"Job_details.6\"')}), ''))")
+    return with_raw(f""", de AS (
+  SELECT o.o_orderpriority || ' data engineer' AS "Job_details",
+    CASE WHEN o.o_orderkey % 5 = 0 THEN '   '
+         ELSE o.o_orderstatus || ' pipeline with python and sql for ' || c.c_name END AS "Job_details.1",
+    c.c_name AS "Company_info",
+    CASE WHEN o.o_orderkey % 3 = 0 THEN NULL ELSE c.c_mktsegment END AS "Job_details.4",
+    CASE WHEN o.o_orderkey % 4 = 0 THEN '' ELSE 'CA' END AS "Job_details.5",
+    n.n_name AS "Job_details.6",
+    CAST(CAST(floor(o.o_totalprice / 10) AS BIGINT) AS VARCHAR) AS "Salary.2",
+    CASE WHEN o.o_orderkey % 2 = 0 THEN 'USD' END AS "Salary.3",
+    CASE WHEN o.o_orderkey % 7 = 0 THEN 'Remote' END AS "Office location"
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+), m AS (
+  SELECT {NB('"Job_details"')} AS job_title, {NB('"Job_details.1"')} AS job_description,
+    {NB('"Company_info"')} AS company_name, {loc} AS location,
+    nullif(concat_ws(' ', {NB('"Salary.2"')}, {NB('"Salary.3"')}), '') AS salary_info
+  FROM de
+)
+SELECT 'kaggle_data_engineer_2023' AS source_id, job_title, job_description, company_name, location,
+  '2023-04-01' AS posted_date, salary_info,
+  {J(f"CASE WHEN len({TAX('job_title', 'job_description')}) > 0 THEN {TAX('job_title', 'job_description')} END")}
+    AS skills
+FROM m""")
+
+
+@query("map_de_2023", _de_sql())
+def q_map_de_2023(spark, sf_dir):
+    from hirelake.operators.mapping import map_de_2023
+    m = map_de_2023(A.de_like(spark, sf_dir), as_of=INGEST_AS_OF, extract_skills=True, ingested_at=_ingest_ts())
+    return m.select("source_id", "job_title", "job_description", "company_name", "location",
+                    d2s("posted_date").alias("posted_date"), "salary_info", SK.skills_text("skills").alias("skills"))
+
+
+def _hf_sql() -> str:
+    given = f"CASE WHEN len({CLEAN('job_skills')}) > 0 THEN {CLEAN('job_skills')} END"
+    desc = f"CASE WHEN len({CLEAN('job_type_skills')}) > 0 THEN array_to_string({CLEAN('job_type_skills')}, chr(10)) END"
+    return with_raw(f""", hf AS (
+  SELECT
+    CASE WHEN doc_id % 4 = 0 THEN strftime(DATE '2023-01-01' + CAST(doc_id % 900 AS INTEGER), '%Y-%m-%d') || 'T23:30:00-05:00'
+         WHEN doc_id % 4 = 1 THEN strftime(DATE '2023-01-01' + CAST(doc_id % 900 AS INTEGER), '%Y-%m-%d') || ' 08:00:00'
+         WHEN doc_id % 4 = 2 THEN strftime(DATE '2023-01-01' + CAST(doc_id % 900 AS INTEGER), '%Y-%m-%d') || ' x'
+         ELSE strftime(DATE '2023-01-01' + CAST(doc_id % 900 AS INTEGER), '%Y-%m-%d') END AS job_posted_date,
+    source || ' role' AS job_title,
+    ['Data Engineer', 'Data Scientist', 'Software Engineer', 'Data Analyst', 'Cloud Engineer'][doc_id % 5 + 1]
+      AS job_title_short,
+    [text, ' ', NULL] AS job_type_skills,
+    CASE WHEN doc_id % 3 = 0 THEN [w1, '  ', w2] WHEN doc_id % 3 = 1 THEN CAST([] AS VARCHAR[]) END AS job_skills,
+    source AS company_name, lang AS job_location,
+    CASE WHEN doc_id % 6 <> 0 THEN n_chars * 37.5 END AS salary_year_avg
+  FROM doc_words
+), m AS (
+  SELECT job_title, {desc} AS job_description, company_name, job_location AS location,
+    {_iso_date_sql('job_posted_date')} AS posted_date, {given} AS given, job_title_short,
+    CAST(salary_year_avg AS VARCHAR) AS salary_info
+  FROM hf
+), t AS (
+  SELECT *, {TAX('job_title', 'job_description')} AS tax FROM m
+), merged AS (
+  SELECT *, CASE WHEN given IS NULL THEN tax
+    ELSE list_filter(list_concat(given, tax), lambda x, i: list_position(list_concat(given, tax), x) = i) END AS mm
+  FROM t
+)
+SELECT 'huggingface_data_jobs' AS source_id, job_title, job_description, company_name, location,
+  {D('posted_date')} AS posted_date, {J("CASE WHEN len(mm) > 0 THEN mm END")} AS skills, salary_info
+FROM merged
+WHERE posted_date >= DATE '{INGEST_AS_OF}' - 1095
+  AND (coalesce({TRIM('job_title_short')} IN ('Data Engineer', 'Data Scientist', 'Data Analyst', 'Analytics Engineer',
+       'Business Analyst', 'Machine Learning Engineer'), false)
+       OR {DOMAIN('job_title', 'job_description', 'coalesce(given, CAST([] AS VARCHAR[]))')})""")
+
+
+@query("map_hf_jobs", _hf_sql())
+def q_map_hf_jobs(spark, sf_dir):
+    from hirelake.operators.mapping import map_hf
+    m = map_hf(A.hf_like(spark, sf_dir), as_of=INGEST_AS_OF, extract_skills=True, ingested_at=_ingest_ts())
+    return m.select("source_id", "job_title", "job_description", "company_name", "location",
+                    d2s("posted_date").alias("posted_date"), SK.skills_text("skills").alias("skills"), "salary_info")
+
+
+# =============================================================================
+# Partitioned mart layout and the pruned reader
+# =============================================================================
+
+SCAN_FROM, SCAN_TO = "1997-03-15", "1998-06-30"
+
+
+@query("curated_partition_scan", with_raw(f"""
+SELECT row_key, source_id, {D('posted_date')} AS posted_date, content_quality_bucket FROM curated
+WHERE posted_date >= DATE '{SCAN_FROM}' AND posted_date <= DATE '{SCAN_TO}'"""))
+def q_curated_partition_scan(spark, sf_dir):
+    from hirelake.session import scratch_path
+    from hirelake.sources.sinks import read_partitioned, write_partitioned
+    path = scratch_path(spark, "mart_jobs_curated")
+    write_partitioned(curated_k(spark, sf_dir), path, "posted_date", ("source_id", "content_quality_bucket"))
+    scan = read_partitioned(spark, path, "posted_date", SCAN_FROM, SCAN_TO)
+    return scan.select("row_key", "source_id", d2s("posted_date").alias("posted_date"), "content_quality_bucket")
