@@ -6,6 +6,7 @@ never need a Python UDF or a shuffle.
 """
 from __future__ import annotations
 
+from functools import reduce
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType
 
@@ -88,10 +89,11 @@ def taxonomy_regex(patterns: list[str]) -> str:
 
     ``(?U)`` keeps ``\\b`` Unicode-aware (as in Python) on every JDK.  Each
     alternative is tried at every position, so this equals testing the
-    patterns one by one.
+    patterns one by one.  The text it runs on is already lowercased and the
+    patterns are lowercase, so no case-insensitive flag is needed.
     """
     alts = "|".join(_escape(p.lower()) for p in patterns)
-    return rf"(?iU)\b(?:{alts})\b"
+    return rf"(?U)\b(?:{alts})\b"
 
 
 def extraction_text(title, description) -> Column:
@@ -99,17 +101,37 @@ def extraction_text(title, description) -> Column:
     return F.lower(F.concat_ws(" ", blank_to_null(title), blank_to_null(description)))
 
 
-def extract_taxonomy(title, description, taxonomy=None) -> Column:
-    """Sorted, distinct canonical skill names found in title + description.
+def taxonomy_hits(text, taxonomy=None) -> Column:
+    """Sorted, distinct canonical names whose patterns occur in ``text``
+    (already lowercased) as whole words.
 
-    One ``rlike`` per canonical name; every name is tested independently, so
-    overlapping phrases all count ("google cloud storage" gives GCP and Cloud
-    Storage).  The result is sorted by code point, like Python's ``sorted``.
+    Every name is tested independently, so overlapping phrases all count
+    ("google cloud storage" gives GCP and Cloud Storage).  A plain substring
+    test guards each regex, so the regex only runs on rows that can match.
+    Names are emitted in code-point order (Python's ``sorted``) and NULLs are
+    removed with ``array_except``; no lambda is involved, so the whole
+    expression stays in generated code and ``text`` is computed once.
     """
-    text = extraction_text(title, description)
-    hits = [F.when(text.rlike(taxonomy_regex(pats)), F.lit(canon))
-            for canon, pats in taxonomy_groups(taxonomy)]
-    return F.array_sort(F.filter(F.array(*hits), lambda x: x.isNotNull()))
+    text = col_of(text)
+    groups = sorted(taxonomy_groups(taxonomy), key=lambda g: g[0])
+    hits = []
+    for canon, pats in groups:
+        guard = reduce(lambda a, b: a | b, [text.contains(p.lower()) for p in pats])
+        hits.append(F.when(guard & text.rlike(taxonomy_regex(pats)), F.lit(canon)))
+    return F.array_except(F.array(*hits), F.array(F.lit(None).cast("string")))
+
+
+def extract_taxonomy(title, description, taxonomy=None) -> Column:
+    """Sorted, distinct canonical skill names found in title + description."""
+    return taxonomy_hits(extraction_text(title, description), taxonomy)
+
+
+def with_taxonomy(df, title="job_title", description="job_description", out: str = "skills_taxonomy",
+                  taxonomy=None):
+    """DataFrame form: the lowercased text is projected once, then matched."""
+    tmp = f"_{out}_text"
+    return (df.withColumn(tmp, extraction_text(title, description))
+              .withColumn(out, taxonomy_hits(tmp, taxonomy)).drop(tmp))
 
 
 # ----------------------------------------------------------------------------

@@ -22,8 +22,13 @@ def trim_ws(c) -> Column:
 
 
 def blank_to_null(c) -> Column:
-    """``nullif(trim(c), '')`` with full-whitespace trimming."""
-    return F.nullif(trim_ws(c), F.lit(""))
+    """``nullif(trim(c), '')`` with full-whitespace trimming.
+
+    Written as CASE WHEN: Spark 4 rewrites ``nullif`` into extra projections,
+    which would keep a top-k from being planned as one operator.
+    """
+    t = trim_ws(c)
+    return F.when(t != F.lit(""), t)
 
 
 def is_blank(c) -> Column:

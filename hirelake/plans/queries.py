@@ -451,9 +451,8 @@ def q_taxonomy_skills(spark, sf_dir):
 SELECT row_key, round_even({JACCARD('skills_normalized', TAX('job_title', 'job_description'))}, 4) AS jaccard
 FROM std_k"""))
 def q_skill_jaccard(spark, sf_dir):
-    s = std_k(spark, sf_dir)
-    tax = SK.extract_taxonomy("job_title", "job_description")
-    return s.select("row_key", F.bround(SK.jaccard("skills_normalized", tax), 4).alias("jaccard"))
+    s = SK.with_taxonomy(std_k(spark, sf_dir))
+    return s.select("row_key", F.bround(SK.jaccard("skills_normalized", "skills_taxonomy"), 4).alias("jaccard"))
 
 
 def _list_sql(expr: str, name: str) -> str:
@@ -503,8 +502,8 @@ SELECT row_key, {J("CASE WHEN len(m) > 0 THEN m END")} AS merged FROM (
         AS list_distinct_ordered
     FROM std_k))"""))
 def q_merge_skills(spark, sf_dir):
-    s = std_k(spark, sf_dir)
-    merged = SK.merge_skills("skills_normalized", SK.extract_taxonomy("job_title", "job_description"))
+    s = SK.with_taxonomy(std_k(spark, sf_dir))
+    merged = SK.merge_skills("skills_normalized", "skills_taxonomy")
     return s.select("row_key", SK.skills_text(merged).alias("merged"))
 
 

@@ -1,6 +1,7 @@
 """Scans of the source files: CSV with a header, Parquet rows, input picking."""
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hirelake.functions.vocab import CSV_NA_VALUES
@@ -68,9 +69,11 @@ def list_csv_files(spark: SparkSession, directory: str) -> DataFrame:
 def pick_input_file(spark: SparkSession, directory: str, how: str = "largest") -> str:
     """The largest CSV (``how='largest'``) or the first by path (``'first'``)
     under a directory.  No CSV at all is an error."""
-    files = list_csv_files(spark, directory)
     order = [F.col("length").desc(), F.col("path")] if how == "largest" else [F.col("path")]
-    row = files.orderBy(*order).select("path").first()
+    try:
+        row = list_csv_files(spark, directory).orderBy(*order).select("path").first()
+    except AnalysisException:
+        row = None
     if row is None:
         raise FileNotFoundError(f"no CSV found under {directory}")
     return row.path
