@@ -53,12 +53,13 @@ def ingest(spark: SparkSession, sources: list[SourceSpec], base: str, only: str
     return done
 
 
-def load(spark: SparkSession, sources: list[SourceSpec], base: str, only: str | None = None) -> list[str]:
+def load(spark: SparkSession, sources: list[SourceSpec], base: str, only: str | None = None,
+         table_root: str | None = None) -> list[str]:
     loaded = []
     for spec in sources:
         if only and spec.name != only:
             continue
-        if sinks.load_raw_table(spark, base, spec.dataset, spec.table):
+        if sinks.load_raw_table(spark, base, spec.dataset, spec.table, table_root):
             loaded.append(spec.table)
     return loaded
 
@@ -91,10 +92,11 @@ def build_marts(raw_frames: list[DataFrame], out: str | None = None) -> Marts:
 
 
 def run_batch(spark: SparkSession, sources: list[SourceSpec], base: str, out: str | None = None,
-              skip_models: bool = False, master: str = "master_jobs") -> Marts | None:
+              skip_models: bool = False, master: str = "master_jobs",
+              table_root: str | None = None) -> Marts | None:
     """ingest -> load -> master view -> marts (unless ``skip_models``)."""
     ingest(spark, sources, base)
-    load(spark, sources, base)
+    load(spark, sources, base, table_root=table_root)
     present = present_sources(spark, [s.table for s in sources] or list(RAW_TABLE_IDS))
     if not present:
         raise ValueError("no raw tables loaded")

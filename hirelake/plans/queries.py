@@ -675,21 +675,35 @@ li AS (
 )"""
 
 
-def _linkedin_sql() -> str:
-    return with_raw(f""", {LINKEDIN_LIKE_SQL.strip()},
-m AS (
-  SELECT 'kaggle_linkedin_postings' AS source_id, {NB('title')} AS job_title,
+def _li_mapped_cte(name: str, variant: str = "postings") -> str:
+    """Canonical rows of the LinkedIn mapper over ``li`` (recent, data domain)."""
+    sid = "kaggle_linkedin_postings" if variant == "postings" else "kaggle_linkedin_jobs_skills_2024"
+    sname = "Kaggle LinkedIn Job Postings 2023-2024" if variant == "postings" \
+        else "Kaggle 1.3M LinkedIn Jobs & Skills 2024"
+    default = "2023-06-01" if variant == "postings" else "2024-01-01"
+    rule = _rule_b_sql("skills") if variant == "postings" else _rule_c_sql("skills")
+    return f"""{name}_all AS (
+  SELECT '{sid}' AS source_id, '{sname}' AS source_name, {NB('title')} AS job_title,
     {NB('coalesce(skills_desc, description)')} AS job_description,
     {TRIM('coalesce(company_id, company_name)')} AS company_name, {TRIM('location')} AS location,
-    coalesce({_iso_date_sql('posted_date')}, DATE '2023-06-01') AS posted_date,
-    {TRIM('job_link')} AS job_url, {_rule_b_sql('skills')} AS skills, {TRIM('pay_period')} AS salary_info,
+    coalesce({_iso_date_sql('posted_date')}, DATE '{default}') AS posted_date,
+    {TRIM('job_link')} AS job_url, {rule} AS skills, {TRIM('pay_period')} AS salary_info,
     TIMESTAMP '{INGESTED_AT}' AS ingested_at
   FROM li
-)
-SELECT source_id, job_title, job_description, company_name, location, {D('posted_date')} AS posted_date, job_url,
-  {J('skills')} AS skills, CAST(len(skills) AS BIGINT) AS n_skills, salary_info, {TS('ingested_at')} AS ingested_at
-FROM m
-WHERE posted_date >= DATE '{INGEST_AS_OF}' - 1095 AND {DOMAIN('job_title', 'job_description', 'skills')}""")
+), {name} AS (
+  SELECT * FROM {name}_all
+  WHERE posted_date >= DATE '{INGEST_AS_OF}' - 1095 AND {DOMAIN('job_title', 'job_description', 'skills')}
+)"""
+
+
+MAPPED_OUT_SQL = (f"source_id, job_title, job_description, company_name, location, {D('posted_date')} AS posted_date, "
+                  f"job_url, {J('skills')} AS skills, CAST(len(skills) AS BIGINT) AS n_skills, salary_info, "
+                  f"{TS('ingested_at')} AS ingested_at")
+
+
+def _linkedin_sql() -> str:
+    return with_raw(f""", {LINKEDIN_LIKE_SQL.strip()}, {_li_mapped_cte('lp')}
+SELECT {MAPPED_OUT_SQL} FROM lp""")
 
 
 @query("map_linkedin_postings", _linkedin_sql())
@@ -715,10 +729,8 @@ def q_ingest_csv_roundtrip(spark, sf_dir):
     return _mapped_out(m)
 
 
-def _de_sql() -> str:
-    loc = (f"coalesce({NB('\"Office location\"')}, nullif(concat_ws(', ', {NB('\"Job_details.4\"')}, "
-           f"{NB('\"Job_details.5\"')}, {NB('\"Job_details.6\"')}), ''))")
-    return with_raw(f""", de AS (
+DE_LIKE_SQL = """
+de AS (
   SELECT o.o_orderpriority || ' data engineer' AS "Job_details",
     CASE WHEN o.o_orderkey % 5 = 0 THEN '   '
          ELSE o.o_orderstatus || ' pipeline with python and sql for ' || c.c_name END AS "Job_details.1",
@@ -731,17 +743,31 @@ def _de_sql() -> str:
     CASE WHEN o.o_orderkey % 7 = 0 THEN 'Remote' END AS "Office location"
   FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-), m AS (
+)"""
+
+
+def _de_mapped_cte(name: str) -> str:
+    loc = (f"coalesce({NB('\"Office location\"')}, nullif(concat_ws(', ', {NB('\"Job_details.4\"')}, "
+           f"{NB('\"Job_details.5\"')}, {NB('\"Job_details.6\"')}), ''))")
+    tax = TAX("job_title", "job_description")
+    return f"""{name}_m AS (
   SELECT {NB('"Job_details"')} AS job_title, {NB('"Job_details.1"')} AS job_description,
     {NB('"Company_info"')} AS company_name, {loc} AS location,
     nullif(concat_ws(' ', {NB('"Salary.2"')}, {NB('"Salary.3"')}), '') AS salary_info
   FROM de
-)
-SELECT 'kaggle_data_engineer_2023' AS source_id, job_title, job_description, company_name, location,
-  '2023-04-01' AS posted_date, salary_info,
-  {J(f"CASE WHEN len({TAX('job_title', 'job_description')}) > 0 THEN {TAX('job_title', 'job_description')} END")}
-    AS skills
-FROM m""")
+), {name} AS (
+  SELECT 'kaggle_data_engineer_2023' AS source_id, 'Kaggle Data Engineer Job Postings 2023' AS source_name,
+    job_title, job_description, company_name, location, DATE '2023-04-01' AS posted_date,
+    CAST(NULL AS VARCHAR) AS job_url, CASE WHEN len({tax}) > 0 THEN {tax} END AS skills, salary_info,
+    TIMESTAMP '{INGESTED_AT}' AS ingested_at
+  FROM {name}_m
+)"""
+
+
+def _de_sql() -> str:
+    return with_raw(f""", {DE_LIKE_SQL.strip()}, {_de_mapped_cte('dm')}
+SELECT source_id, job_title, job_description, company_name, location, {D('posted_date')} AS posted_date,
+  salary_info, {J('skills')} AS skills FROM dm""")
 
 
 @query("map_de_2023", _de_sql())
@@ -752,10 +778,8 @@ def q_map_de_2023(spark, sf_dir):
                     d2s("posted_date").alias("posted_date"), "salary_info", SK.skills_text("skills").alias("skills"))
 
 
-def _hf_sql() -> str:
-    given = f"CASE WHEN len({CLEAN('job_skills')}) > 0 THEN {CLEAN('job_skills')} END"
-    desc = f"CASE WHEN len({CLEAN('job_type_skills')}) > 0 THEN array_to_string({CLEAN('job_type_skills')}, chr(10)) END"
-    return with_raw(f""", hf AS (
+HF_LIKE_SQL = """
+hf AS (
   SELECT
     CASE WHEN doc_id % 4 = 0 THEN strftime(DATE '2023-01-01' + CAST(doc_id % 900 AS INTEGER), '%Y-%m-%d') || 'T23:30:00-05:00'
          WHEN doc_id % 4 = 1 THEN strftime(DATE '2023-01-01' + CAST(doc_id % 900 AS INTEGER), '%Y-%m-%d') || ' 08:00:00'
@@ -769,25 +793,39 @@ def _hf_sql() -> str:
     source AS company_name, lang AS job_location,
     CASE WHEN doc_id % 6 <> 0 THEN n_chars * 37.5 END AS salary_year_avg
   FROM doc_words
-), m AS (
+)"""
+
+
+def _hf_mapped_cte(name: str) -> str:
+    given = f"CASE WHEN len({CLEAN('job_skills')}) > 0 THEN {CLEAN('job_skills')} END"
+    desc = f"CASE WHEN len({CLEAN('job_type_skills')}) > 0 THEN array_to_string({CLEAN('job_type_skills')}, chr(10)) END"
+    return f"""{name}_m AS (
   SELECT job_title, {desc} AS job_description, company_name, job_location AS location,
     {_iso_date_sql('job_posted_date')} AS posted_date, {given} AS given, job_title_short,
     CAST(salary_year_avg AS VARCHAR) AS salary_info
   FROM hf
-), t AS (
-  SELECT *, {TAX('job_title', 'job_description')} AS tax FROM m
-), merged AS (
+), {name}_t AS (
+  SELECT *, {TAX('job_title', 'job_description')} AS tax FROM {name}_m
+), {name}_x AS (
   SELECT *, CASE WHEN given IS NULL THEN tax
     ELSE list_filter(list_concat(given, tax), lambda x, i: list_position(list_concat(given, tax), x) = i) END AS mm
-  FROM t
-)
-SELECT 'huggingface_data_jobs' AS source_id, job_title, job_description, company_name, location,
-  {D('posted_date')} AS posted_date, {J("CASE WHEN len(mm) > 0 THEN mm END")} AS skills, salary_info
-FROM merged
-WHERE posted_date >= DATE '{INGEST_AS_OF}' - 1095
-  AND (coalesce({TRIM('job_title_short')} IN ('Data Engineer', 'Data Scientist', 'Data Analyst', 'Analytics Engineer',
-       'Business Analyst', 'Machine Learning Engineer'), false)
-       OR {DOMAIN('job_title', 'job_description', 'coalesce(given, CAST([] AS VARCHAR[]))')})""")
+  FROM {name}_t
+), {name} AS (
+  SELECT 'huggingface_data_jobs' AS source_id, 'Hugging Face data_jobs' AS source_name, job_title,
+    job_description, company_name, location, posted_date, CAST(NULL AS VARCHAR) AS job_url,
+    CASE WHEN len(mm) > 0 THEN mm END AS skills, salary_info, TIMESTAMP '{INGESTED_AT}' AS ingested_at
+  FROM {name}_x
+  WHERE posted_date >= DATE '{INGEST_AS_OF}' - 1095
+    AND (coalesce({TRIM('job_title_short')} IN ('Data Engineer', 'Data Scientist', 'Data Analyst',
+         'Analytics Engineer', 'Business Analyst', 'Machine Learning Engineer'), false)
+         OR {DOMAIN('job_title', 'job_description', 'coalesce(given, CAST([] AS VARCHAR[]))')})
+)"""
+
+
+def _hf_sql() -> str:
+    return with_raw(f""", {HF_LIKE_SQL.strip()}, {_hf_mapped_cte('hm')}
+SELECT source_id, job_title, job_description, company_name, location, {D('posted_date')} AS posted_date,
+  {J('skills')} AS skills, salary_info FROM hm""")
 
 
 @query("map_hf_jobs", _hf_sql())
@@ -815,3 +853,66 @@ def q_curated_partition_scan(spark, sf_dir):
     write_partitioned(curated_k(spark, sf_dir), path, "posted_date", ("source_id", "content_quality_bucket"))
     scan = read_partitioned(spark, path, "posted_date", SCAN_FROM, SCAN_TO)
     return scan.select("row_key", "source_id", d2s("posted_date").alias("posted_date"), "content_quality_bucket")
+
+
+# =============================================================================
+# The whole batch chain: ingest four file-shaped sources -> lake -> raw tables
+# -> master view -> silver -> gold
+# =============================================================================
+
+def batch_sources(sf_dir: str):
+    from hirelake.operators.mapping import map_de_2023, map_hf, map_linkedin
+    from hirelake.plans.pipeline import SourceSpec
+    kw = dict(as_of=INGEST_AS_OF)
+    return [
+        SourceSpec("huggingface", "huggingface_data_jobs", "raw_huggingface_data_jobs",
+                   lambda s: map_hf(A.hf_like(s, sf_dir), extract_skills=True, ingested_at=_ingest_ts(), **kw)),
+        SourceSpec("kaggle_data_engineer", "kaggle_data_engineer_2023", "raw_kaggle_data_engineer_2023",
+                   lambda s: map_de_2023(A.de_like(s, sf_dir), extract_skills=True, ingested_at=_ingest_ts(), **kw)),
+        SourceSpec("kaggle_linkedin", "kaggle_linkedin_postings", "raw_kaggle_linkedin_postings",
+                   lambda s: map_linkedin(A.linkedin_like(s, sf_dir), "postings", ingested_at=_ingest_ts(), **kw)),
+        SourceSpec("kaggle_linkedin_skills", "kaggle_linkedin_jobs_skills_2024",
+                   "raw_kaggle_linkedin_jobs_skills_2024",
+                   lambda s: map_linkedin(A.linkedin_like(s, sf_dir), "skills", ingested_at=_ingest_ts(), **kw)),
+    ]
+
+
+def _batch_sql() -> str:
+    std = f"""b_std AS (
+  SELECT source_id, {NB('job_title')} AS job_title, {NB('job_description')} AS job_description,
+    {NB('company_name')} AS company_name, {NB('location')} AS location, posted_date,
+    {NB('job_url')} AS job_url, coalesce({CLEAN('skills')}, []) AS skills_normalized, salary_info, ingested_at,
+    CAST(to_json(skills) AS VARCHAR) AS skills_raw
+  FROM b_union
+), b_keyed AS (
+  SELECT *, source_id || '#' || coalesce({NB('job_url')}, '_nourl_') || '#' || coalesce({TRIM('job_title')}, '')
+    || '#' || coalesce({TRIM('company_name')}, '') || '#' || CAST(posted_date AS VARCHAR) || '#'
+    || coalesce({TRIM('location')}, '') AS dedup_key
+  FROM b_std
+), b_dedup AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY source_id, dedup_key ORDER BY ingested_at DESC NULLS LAST,
+      job_url ASC NULLS LAST, job_description ASC NULLS LAST, skills_raw ASC NULLS LAST,
+      salary_info ASC NULLS LAST, job_title ASC NULLS LAST, company_name ASC NULLS LAST,
+      location ASC NULLS LAST) AS rn
+    FROM b_keyed) WHERE rn = 1
+), b_long AS (
+  SELECT source_id, {TRIM('skill')} AS skill FROM (SELECT source_id, unnest(skills_normalized) AS skill FROM b_dedup)
+  WHERE {TRIM('skill')} IS NOT NULL AND {TRIM('skill')} <> ''
+)"""
+    return with_raw(f""", {LINKEDIN_LIKE_SQL.strip()}, {_li_mapped_cte('lp')}, {_li_mapped_cte('ls', 'skills')},
+{DE_LIKE_SQL.strip()}, {_de_mapped_cte('dm')}, {HF_LIKE_SQL.strip()}, {_hf_mapped_cte('hm')},
+b_union AS (SELECT * FROM hm UNION ALL SELECT * FROM dm UNION ALL SELECT * FROM lp UNION ALL SELECT * FROM ls),
+{std}
+SELECT skill, CAST(count(*) AS BIGINT) AS job_postings, CAST(count(DISTINCT source_id) AS BIGINT) AS source_count
+FROM b_long GROUP BY skill""")
+
+
+@query("batch_pipeline", _batch_sql())
+def q_batch_pipeline(spark, sf_dir):
+    """Run the batch chain end to end into scratch storage; return the skill mart."""
+    from hirelake.plans.pipeline import run_batch
+    from hirelake.session import scratch_path
+    base = scratch_path(spark, "batch")
+    marts = run_batch(spark, batch_sources(sf_dir), base, out=f"{base}/marts", table_root=f"{base}/tables")
+    return marts.skill_demand

@@ -19,16 +19,27 @@ def write_lake(df: DataFrame, base: str, dataset: str) -> str:
     return path
 
 
-def load_raw_table(spark: SparkSession, base: str, dataset: str, table: str) -> bool:
+def load_raw_table(spark: SparkSession, base: str, dataset: str, table: str,
+                   table_root: str | None = None) -> bool:
     """Truncate-and-replace ``table`` from every Parquet file under the
-    dataset folder.  No files -> warn and leave the table untouched."""
+    dataset folder.  No files -> warn and leave the table untouched.
+
+    By default the table goes to the session catalog.  With ``table_root`` it
+    is written as Parquet under ``<table_root>/<table>`` and registered as a
+    temporary view of that name (for sessions without a writable warehouse).
+    """
     path = f"{base.rstrip('/')}/raw/{dataset}"
     try:
         df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(path)
     except AnalysisException as e:
         log.warning("no Parquet files under %s (%s); %s left as is", path, e.getMessage()[:80], table)
         return False
-    df.write.mode("overwrite").saveAsTable(table)
+    if table_root:
+        target = f"{table_root.rstrip('/')}/{table}"
+        df.write.mode("overwrite").parquet(target)
+        spark.read.parquet(target).createOrReplaceTempView(table)
+    else:
+        df.write.mode("overwrite").saveAsTable(table)
     return True
 
 
