@@ -55,6 +55,12 @@ def normalize_skills(c, dtype: DataType | None = None) -> Column:
     return F.coalesce(clean_list(arr), empty_list())
 
 
+def size_or_null(arr) -> Column:
+    """Element count, NULL for a NULL list whatever ``sizeOfNull`` says."""
+    a = col_of(arr)
+    return F.when(a.isNotNull(), F.size(a))
+
+
 def skills_text(arr, sep: str = "|") -> Column:
     """Engine-neutral text form of a list (NULL stays NULL)."""
     return F.array_join(col_of(arr), sep)
@@ -67,7 +73,8 @@ def skills_text(arr, sep: str = "|") -> Column:
 _REGEX_SPECIAL = set(".^$*+?()[]{}|\\")
 
 
-def _escape(s: str) -> str:
+def regex_escape(s: str) -> str:
+    """Escape Java-regex metacharacters so ``s`` matches literally."""
     return "".join("\\" + ch if ch in _REGEX_SPECIAL else ch for ch in s)
 
 
@@ -92,7 +99,7 @@ def taxonomy_regex(patterns: list[str]) -> str:
     patterns one by one.  The text it runs on is already lowercased and the
     patterns are lowercase, so no case-insensitive flag is needed.
     """
-    alts = "|".join(_escape(p.lower()) for p in patterns)
+    alts = "|".join(regex_escape(p.lower()) for p in patterns)
     return rf"(?U)\b(?:{alts})\b"
 
 
@@ -162,7 +169,7 @@ def merge_skills(given, extracted) -> Column:
     Empty/NULL given -> extracted; both empty -> NULL.
     """
     g, e = col_of(given), F.coalesce(col_of(extracted), empty_list())
-    g_empty = F.coalesce(F.size(g) == 0, F.lit(True))
+    g_empty = g.isNull() | (F.size(g) == 0)
     merged = F.when(g_empty, e).otherwise(F.array_distinct(F.concat(g, e)))
     return F.when(F.size(merged) > 0, merged)
 
@@ -170,7 +177,7 @@ def merge_skills(given, extracted) -> Column:
 def hybrid_skills(primary, fallback) -> Column:
     """Primary list where it has items, otherwise the fallback list."""
     p = col_of(primary)
-    return F.when(F.coalesce(F.size(p) > 0, F.lit(False)), p).otherwise(col_of(fallback))
+    return F.when(p.isNotNull() & (F.size(p) > 0), p).otherwise(col_of(fallback))
 
 
 # ----------------------------------------------------------------------------

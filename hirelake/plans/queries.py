@@ -488,7 +488,7 @@ def q_parse_skill_list(spark, sf_dir):
     out = [F.col("row_key")]
     for name, expr in (("list_b", SK.skill_list_bracketed("v")), ("list_c", SK.skill_list_separated("v")),
                        ("list_a", SK.skill_list_single("v"))):
-        out += [SK.skills_text(expr).alias(name), F.size(expr).cast("long").alias(f"n_{name}")]
+        out += [SK.skills_text(expr).alias(name), SK.size_or_null(expr).cast("long").alias(f"n_{name}")]
     return inputs.select(*out)
 
 
@@ -654,7 +654,7 @@ def _ingest_ts():
 def _mapped_out(df: DataFrame) -> DataFrame:
     return df.select("source_id", "job_title", "job_description", "company_name", "location",
                      d2s("posted_date").alias("posted_date"), "job_url",
-                     SK.skills_text("skills").alias("skills"), F.size("skills").cast("long").alias("n_skills"),
+                     SK.skills_text("skills").alias("skills"), SK.size_or_null("skills").cast("long").alias("n_skills"),
                      "salary_info", ts2s("ingested_at").alias("ingested_at"))
 
 

@@ -144,3 +144,27 @@ def test_sinks_roundtrip(spark, tmpdir_path):
     assert got == [("Data\nEngineer", None, 'say "hi"'), ("x", None, None)]
     with pytest.raises(FileNotFoundError):
         pick_input_file(spark, os.path.join(csv_dir, "sub", "none"))
+
+
+def test_catalog_and_relation(spark, tmpdir_path):
+    from hirelake.sources import catalog, sinks
+    df = canon_frame(spark, [dict(job_title="a")])
+    for v in ("raw_zz_one", "raw_zz_two", "master_jobs"):
+        spark.catalog.dropTempView(v)
+    df.createOrReplaceTempView("raw_zz_one")
+    assert catalog.present_sources(spark, ["raw_zz_two", "raw_zz_one"]) == ["raw_zz_one"]
+    rel, mode = catalog.jobs_relation(spark, table="raw_zz_one")
+    assert mode == "raw_pick" and rel.count() == 1
+    with pytest.raises(ValueError):
+        catalog.jobs_relation(spark, table="Robert'); drop")
+    df.createOrReplaceTempView("raw_zz_two")
+    assert {"raw_zz_one", "raw_zz_two"} <= set(catalog.list_raw_tables(spark))
+    sinks.create_master_view(spark, df, "master_jobs")
+    assert catalog.jobs_relation(spark)[1] == "master_jobs"
+    models = catalog.bronze_models(spark, ["raw_zz_one", "raw_zz_missing"])
+    assert list(models) == ["brz_zz_one"]
+    out = sinks.export_csv(df.select("source_id", "job_title"), os.path.join(tmpdir_path, "export"),
+                           single_file=True)
+    files = [f for f in os.listdir(out) if f.endswith(".csv")]
+    assert len(files) == 1
+    assert open(os.path.join(out, files[0])).read().splitlines() == ["source_id,job_title", "s1,a"]
