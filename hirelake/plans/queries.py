@@ -675,7 +675,7 @@ li AS (
 )"""
 
 
-def _li_mapped_cte(name: str, variant: str = "postings") -> str:
+def _li_mapped_cte(name: str, variant: str = "postings", src: str = "li", title: str = "title") -> str:
     """Canonical rows of the LinkedIn mapper over ``li`` (recent, data domain)."""
     sid = "kaggle_linkedin_postings" if variant == "postings" else "kaggle_linkedin_jobs_skills_2024"
     sname = "Kaggle LinkedIn Job Postings 2023-2024" if variant == "postings" \
@@ -683,13 +683,13 @@ def _li_mapped_cte(name: str, variant: str = "postings") -> str:
     default = "2023-06-01" if variant == "postings" else "2024-01-01"
     rule = _rule_b_sql("skills") if variant == "postings" else _rule_c_sql("skills")
     return f"""{name}_all AS (
-  SELECT '{sid}' AS source_id, '{sname}' AS source_name, {NB('title')} AS job_title,
+  SELECT '{sid}' AS source_id, '{sname}' AS source_name, {NB(title)} AS job_title,
     {NB('coalesce(skills_desc, description)')} AS job_description,
     {TRIM('coalesce(company_id, company_name)')} AS company_name, {TRIM('location')} AS location,
     coalesce({_iso_date_sql('posted_date')}, DATE '{default}') AS posted_date,
     {TRIM('job_link')} AS job_url, {rule} AS skills, {TRIM('pay_period')} AS salary_info,
     TIMESTAMP '{INGESTED_AT}' AS ingested_at
-  FROM li
+  FROM {src}
 ), {name} AS (
   SELECT * FROM {name}_all
   WHERE posted_date >= DATE '{INGEST_AS_OF}' - 1095 AND {DOMAIN('job_title', 'job_description', 'skills')}
@@ -713,6 +713,24 @@ def q_map_linkedin_postings(spark, sf_dir):
     return _mapped_out(m)
 
 
+def _with_job_header(df: DataFrame) -> DataFrame:
+    """The 1.3M-jobs layout also has a bare 'job' header, which counts as a title."""
+    k = F.col("job_id").cast("long")
+    return df.withColumn("job", F.when(k % 3 == 0, F.concat(F.lit("Data engineer "), F.col("location"))))
+
+
+@query("map_linkedin_skills", with_raw(f""", {LINKEDIN_LIKE_SQL.strip()},
+li_job AS (
+  SELECT *, CASE WHEN CAST(job_id AS BIGINT) % 3 = 0 THEN 'Data engineer ' || location END AS job FROM li
+), {_li_mapped_cte('ls', 'skills', src='li_job', title='coalesce(job, title)')}
+SELECT {MAPPED_OUT_SQL} FROM ls"""))
+def q_map_linkedin_skills(spark, sf_dir):
+    from hirelake.operators.mapping import map_linkedin
+    src = _with_job_header(A.linkedin_like(spark, sf_dir))
+    m = map_linkedin(src, "skills", as_of=INGEST_AS_OF, ingested_at=_ingest_ts())
+    return _mapped_out(m)
+
+
 @query("ingest_csv_roundtrip", _linkedin_sql())
 def q_ingest_csv_roundtrip(spark, sf_dir):
     """Write the LinkedIn-shaped rows as a real multi-line CSV file, then run
