@@ -166,11 +166,13 @@ def jaccard(a, b) -> Column:
 def merge_skills(given, extracted) -> Column:
     """Given skills followed by new extracted ones, first occurrence wins.
 
-    Empty/NULL given -> extracted; both empty -> NULL.
+    Empty/NULL given -> extracted; nothing extracted -> given as is (repeats
+    kept); both empty -> NULL.
     """
     g, e = col_of(given), F.coalesce(col_of(extracted), empty_list())
     g_empty = g.isNull() | (F.size(g) == 0)
-    merged = F.when(g_empty, e).otherwise(F.array_distinct(F.concat(g, e)))
+    merged = (F.when(g_empty, e).when(F.size(e) == 0, g)
+               .otherwise(F.array_distinct(F.concat(g, e))))
     return F.when(F.size(merged) > 0, merged)
 
 

@@ -229,10 +229,6 @@ def map_hf(df: DataFrame, as_of=None, extract_skills: bool = False, ingested_at:
     skills = skill_list_from_array(col("job_skills")) if isinstance(js_type, ArrayType) \
         else skill_list_single(col("job_skills"))
     title = col("job_title").cast("string")
-    given = skills
-    if extract_skills:
-        tax = extract_taxonomy(blank_to_null(title), desc, taxonomy)
-        skills = merge_skills(given, tax)
     salary = python_float_text(col("salary_year_avg").cast("double")) if "salary_year_avg" in sch \
         else F.lit(None).cast("string")
     mapped = df.select(
@@ -241,15 +237,21 @@ def map_hf(df: DataFrame, as_of=None, extract_skills: bool = False, ingested_at:
         col("company_name").cast("string").alias("company_name"),
         col("job_location").cast("string").alias("location"),
         posted.alias("posted_date"), F.lit(None).cast("string").alias("job_url"),
-        F.coalesce(skills, F.lit(None).cast(ArrayType(StringType()))).alias("skills"),
+        F.coalesce(skills, F.lit(None).cast(ArrayType(StringType()))).alias("_given"),
         salary.alias("salary_info"),
         (ingested_at if ingested_at is not None else F.localtimestamp()).alias("ingested_at"),
         col("job_title_short").cast("string").alias("_short"),
-        given.alias("_given"),
     )
     # The domain test sees the given skills, before any taxonomy merge.
     kept = mapped.where(is_recent("posted_date", as_of, days)
                         & is_data_domain("job_title", "job_description", "_given", job_title_short="_short"))
+    if extract_skills:
+        # Taxonomy hits become a column first, so the merge below refers to
+        # them instead of repeating the whole extraction expression.
+        kept = kept.withColumn("_tax", extract_taxonomy(blank_to_null("job_title"), "job_description", taxonomy))
+        kept = kept.withColumn("skills", merge_skills("_given", "_tax"))
+    else:
+        kept = kept.withColumn("skills", F.col("_given"))
     return conform(kept, skills_as="keep")
 
 

@@ -494,7 +494,7 @@ def q_parse_skill_list(spark, sf_dir):
 
 @query("merge_skills", with_raw(f"""
 SELECT row_key, {J("CASE WHEN len(m) > 0 THEN m END")} AS merged FROM (
-  SELECT row_key, CASE WHEN len(skills_normalized) = 0 THEN t
+  SELECT row_key, CASE WHEN len(skills_normalized) = 0 THEN t WHEN len(t) = 0 THEN skills_normalized
     ELSE list_distinct_ordered END AS m FROM (
     SELECT row_key, skills_normalized, {TAX('job_title', 'job_description')} AS t,
       list_filter(list_concat(skills_normalized, {TAX('job_title', 'job_description')}), lambda x, i:
@@ -825,7 +825,7 @@ def _hf_mapped_cte(name: str) -> str:
 ), {name}_t AS (
   SELECT *, {TAX('job_title', 'job_description')} AS tax FROM {name}_m
 ), {name}_x AS (
-  SELECT *, CASE WHEN given IS NULL THEN tax
+  SELECT *, CASE WHEN given IS NULL THEN tax WHEN len(tax) = 0 THEN given
     ELSE list_filter(list_concat(given, tax), lambda x, i: list_position(list_concat(given, tax), x) = i) END AS mm
   FROM {name}_t
 ), {name} AS (

@@ -88,6 +88,7 @@ def test_jaccard(spark, a, b, expected):
 
 @pytest.mark.parametrize("given,extracted,expected", [
     (["a", "b"], ["b", "c"], ["a", "b", "c"]), ([], ["c"], ["c"]), (None, [], None), (["a"], [], ["a"]),
+    (["a", "a"], [], ["a", "a"]), (["a", "a"], ["b"], ["a", "b"]),
 ])
 def test_merge_skills(spark, given, extracted, expected):
     df = spark.createDataFrame([(given, extracted)], "g array<string>, e array<string>")
