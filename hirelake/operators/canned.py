@@ -57,3 +57,15 @@ def run_canned(name: str, context: dict, **arguments) -> DataFrame:
     if name not in CANNED:
         raise ValueError(f"unknown query {name!r}; allowed: {sorted(CANNED)}")
     return CANNED[name](context, **arguments)
+
+
+def try_canned(name: str, context: dict, **arguments) -> tuple[DataFrame | None, str | None]:
+    """Like :func:`run_canned` but reports problems instead of raising:
+    ``(frame, None)`` on success, ``(None, message)`` for an unknown name or a
+    query that cannot be planned (e.g. a missing mart)."""
+    try:
+        df = run_canned(name, context, **arguments)
+        df.schema  # forces analysis, so a missing table shows up here
+        return df, None
+    except Exception as e:  # noqa: BLE001 - the caller gets the message
+        return None, f"{name}: {e}"

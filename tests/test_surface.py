@@ -168,3 +168,14 @@ def test_catalog_and_relation(spark, tmpdir_path):
     files = [f for f in os.listdir(out) if f.endswith(".csv")]
     assert len(files) == 1
     assert open(os.path.join(out, files[0])).read().splitlines() == ["source_id,job_title", "s1,a"]
+
+
+def test_try_canned(spark):
+    df, err = canned.try_canned("nope", {})
+    assert df is None and "nope" in err
+    sd = spark.createDataFrame([("SQL", 3, 1), ("Go", 3, 2), ("AWS", 1, 1)],
+                               "skill string, job_postings long, source_count long")
+    df, err = canned.try_canned("top_skills", {"skill_demand": sd}, limit="2")
+    assert err is None and [r.skill for r in df.collect()] == ["Go", "SQL"]
+    df, err = canned.try_canned("source_row_counts", {"curated": spark.range(1)})
+    assert df is None and err.startswith("source_row_counts")
