@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType
 
 from hirelake.functions.dates import as_date_literal, parse_date_general, parse_iso_date
-from hirelake.functions.skills import (empty_list, extract_taxonomy, merge_skills, skill_list_bracketed,
+from hirelake.functions.skills import (extract_taxonomy, merge_skills, skill_list_bracketed,
                                        skill_list_from_array, skill_list_separated, skill_list_single,
                                        skills_blob_text)
 from hirelake.functions.text import blank_to_null, trim_ws

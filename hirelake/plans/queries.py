@@ -12,7 +12,6 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hirelake.functions import skills as SK
-from hirelake.functions.fingerprint import dedup_key
 from hirelake.operators import compare as CMP
 from hirelake.operators import explore as EX
 from hirelake.operators import filters as FL
