@@ -63,3 +63,24 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def partition_settings(input_bytes: int, target_bytes: int = 256 * 1024 * 1024,
+                       min_partitions: int = 200) -> dict[str, str]:
+    """Session settings sized to the data, for cluster runs.
+
+    Scan splits and post-shuffle partitions both aim at ``target_bytes`` so a
+    task's working set fits in executor memory (sorts and hash tables spill
+    beyond it).  The initial shuffle width is set from the input size; AQE then
+    coalesces small partitions and splits skewed ones at run time.
+    Example: 100 TB of input -> about 400 000 initial shuffle partitions.
+    """
+    width = max(min_partitions, -(-int(input_bytes) // int(target_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_bytes),
+    }
