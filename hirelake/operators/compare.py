@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from hirelake.functions.skills import empty_list, extract_taxonomy, hybrid_skills, jaccard
+from hirelake.functions.skills import empty_list, extract_taxonomy, hybrid_skills, jaccard, with_taxonomy
 from hirelake.functions.text import blank_to_null, col_of
 from hirelake.functions.vocab import COMPARE_SAMPLE, SNIPPET_CHARS
 from hirelake.operators.filters import has_title_or_description
@@ -62,6 +62,12 @@ def compare_summary(cmp: DataFrame) -> DataFrame:
 
 def hybrid_fill(df: DataFrame, primary="skills_normalized", title="job_title",
                 description="job_description", taxonomy=None, out="skills_hybrid") -> DataFrame:
-    """Keep a row's own skills; where it has none, fill from the taxonomy."""
-    tax = extract_taxonomy(title, description, taxonomy)
-    return df.withColumn(out, hybrid_skills(primary, tax))
+    """Keep a row's own skills; where it has none, fill from the taxonomy.
+
+    The taxonomy hits are projected as a column first: used inside a
+    conditional branch, the extraction would not share its text expression
+    and the generated code would outgrow the JVM's method size limit.
+    """
+    tmp = f"_{out}_taxonomy"
+    with_tax = with_taxonomy(df, title, description, tmp, taxonomy)
+    return with_tax.withColumn(out, hybrid_skills(primary, tmp)).drop(tmp)
