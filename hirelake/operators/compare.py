@@ -19,6 +19,21 @@ def sample_nonblank(df: DataFrame, n: int = COMPARE_SAMPLE, order_by=("row_id",)
              .orderBy(*[col_of(c).asc_nulls_last() for c in order_by]).limit(int(n))
 
 
+def materialized_sample(df: DataFrame, n: int = COMPARE_SAMPLE, order_by=("row_id",),
+                        title="job_title", description="job_description") -> DataFrame:
+    """:func:`sample_nonblank`, written once into ``spark.checkpoint.dir``.
+
+    The sample is taken with a per-partition top-k over the cheap columns;
+    the checkpoint (at most ``n`` rows) cuts the lineage so the expensive
+    per-row work that follows runs on the sample only.  Without the cut Spark
+    would move those projections below the limit and compute them for every
+    row before sorting.
+    """
+    from hirelake.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    return sample_nonblank(df, n, order_by, title, description).checkpoint(eager=True)
+
+
 def compare_skills(df: DataFrame, row_id="row_id", title="job_title", description="job_description",
                    other="skills_other", taxonomy=None, snippet_chars: int = SNIPPET_CHARS) -> DataFrame:
     """Per row: taxonomy skills vs another extractor's list, with Jaccard.

@@ -544,9 +544,11 @@ COMPARE_N = 300
 
 
 def _compare(spark, sf_dir) -> DataFrame:
-    s = std_k(spark, sf_dir)
-    sample = CMP.sample_nonblank(s, COMPARE_N, order_by=("row_key",))
-    return CMP.compare_skills(sample, row_id="row_key", other="skills_normalized")
+    # Sample the raw union first (whitespace-only titles and descriptions are
+    # blank either way), then standardize and compare just the sampled rows.
+    sample = CMP.materialized_sample(stg_k(spark, sf_dir), COMPARE_N, order_by=("row_key",))
+    s = S.standardize(sample, keep=("row_key",))
+    return CMP.compare_skills(s, row_id="row_key", other="skills_normalized")
 
 
 def _compare_sql() -> str:
