@@ -85,7 +85,7 @@ def order_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
     pairs = li.join(part, li.l_partkey == part.p_partkey).select("l_orderkey", "p_name")
-    return pairs.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("p_name")).alias("names"))
+    return pairs.groupBy("l_orderkey").agg(F.sort_array(F.collect_set("p_name")).alias("names"))
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
