@@ -179,3 +179,39 @@ def test_try_canned(spark):
     assert err is None and [r.skill for r in df.collect()] == ["Go", "SQL"]
     df, err = canned.try_canned("source_row_counts", {"curated": spark.range(1)})
     assert df is None and err.startswith("source_row_counts")
+
+
+def test_de_second_salary_header_overwrites(spark):
+    from hirelake.operators.mapping import map_de_2023
+    df = spark.createDataFrame([("T", "D", "90000", "USD", "120k", "Austin", "TX", "")],
+                               "Job_details string, `Job_details.1` string, `Salary.2` string, `Salary.3` string, "
+                               "`Salary raw` string, `Job_details.4` string, `Job_details.5` string, "
+                               "`Job_details.6` string")
+    r = map_de_2023(df, as_of="2024-01-01").first()
+    assert r.salary_info == "120k USD" and r.location == "Austin, TX"
+
+
+@pytest.mark.parametrize("value,expected", [(89000.5, "89000.5"), (144975.0, "144975.0"),
+                                            (15000000.0, "15000000.0"), (12345678.5, "12345678.5"),
+                                            (None, None)])
+def test_python_float_text(spark, value, expected):
+    from hirelake.operators.mapping import python_float_text
+    assert one(spark, python_float_text, value, "double") == expected
+
+
+def test_hf_timestamp_dates_and_domain_before_merge(spark):
+    from hirelake.operators.mapping import map_hf
+    rows = [(dt.datetime(2024, 1, 5, 23, 30), "Cook", "Chef", ["sql"], None, "x"),
+            (dt.datetime(2024, 1, 6, 1, 0), "Cook", "Chef", None, "we use python", "y"),
+            (dt.datetime(2019, 1, 6), "Data engineer", "Data Engineer", None, None, "z")]
+    df = spark.createDataFrame(rows, "job_posted_date timestamp_ntz, job_title string, job_title_short string, "
+                                     "job_skills array<string>, job_type_skills string, company_name string")
+    out = {r.company_name: r for r in map_hf(df, as_of="2024-02-01", extract_skills=True).collect()}
+    # 'x' passes on its given skills text ("sql" has no domain keyword) -> dropped; 'y' has no
+    # domain keyword either (the taxonomy hit 'Python' does not count for the domain test).
+    assert set(out) == set()
+    df2 = df.withColumn("job_title_short", F.lit("Data Analyst"))
+    out = {r.company_name: r for r in map_hf(df2, as_of="2024-02-01", extract_skills=True).collect()}
+    assert set(out) == {"x", "y"}
+    assert out["x"].posted_date == dt.date(2024, 1, 5) and out["x"].skills == ["sql"]
+    assert out["y"].skills == ["Python"]
