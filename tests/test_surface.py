@@ -215,3 +215,10 @@ def test_hf_timestamp_dates_and_domain_before_merge(spark):
     assert set(out) == {"x", "y"}
     assert out["x"].posted_date == dt.date(2024, 1, 5) and out["x"].skills == ["sql"]
     assert out["y"].skills == ["Python"]
+
+
+def test_read_parquet_source_recursive(spark, tmpdir_path):
+    from hirelake.sources.files import read_parquet_source
+    spark.range(3).write.parquet(os.path.join(tmpdir_path, "hf", "a"))
+    spark.range(2).write.parquet(os.path.join(tmpdir_path, "hf", "b", "c"))
+    assert read_parquet_source(spark, os.path.join(tmpdir_path, "hf")).count() == 5
