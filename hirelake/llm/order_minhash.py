@@ -84,7 +84,7 @@ def successors(keys: DataFrame) -> DataFrame:
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """One row per document row: id, ``n_chars``, ``edited_sha256``,
     ``fingerprint`` and ``edited_fingerprint`` (hex, 8 digits a slot),
-    ``near_edited``, ``near_next``.
+    ``near_edited``, ``near_next``, ``next_id`` (id of the next document).
 
     The edited text has the last half of the code points (rounded down)
     replaced by as many of the first of the next document, or all it has.
@@ -108,14 +108,14 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     both = base.join(lent, "k").select(
         "id", "k", "next_k", "next_id", n.cast("bigint").alias("n_chars"), "text",
         F.concat(F.substring(F.col("text"), F.lit(1), n - F.col("half")), F.col("lent")).alias("edited"))
-    both = both.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
-    made = with_slots(with_slots(both, "text", "slots", k).drop("text"), "edited", "edited_slots", k).drop("edited", "next_id")
+    both = both.withColumn("edited_sha256", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)))
+    made = with_slots(with_slots(both, "text", "slots", k).drop("text"), "edited", "edited_slots", k).drop("edited")
     made = written(made, "slots")
     after = made.select(F.col("k").alias("next_k"), F.col("slots").alias("next_slots")).dropDuplicates(["next_k"])
     return made.join(after, "next_k").select(
-        F.col("id").alias(id_col), "n_chars", "edited_sha256", as_text("slots").alias("fingerprint"),
+        F.col("id").alias(id_col), "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), as_text("slots").alias("fingerprint"),
         as_text("edited_slots").alias("edited_fingerprint"), likeness("slots", "edited_slots").alias("near_edited"),
-        likeness("slots", "next_slots").alias("near_next"))
+        likeness("slots", "next_slots").alias("near_next"), "next_id")
 
 
 def op6_order_minhash(spark, sf_dir: str) -> DataFrame:
