@@ -95,7 +95,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     base = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"),
-                       F.unhex(F.sha2(F.concat(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")), F.lit(":"), text), 256)).alias("k"))
+                       F.unhex(F.md5(F.concat(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")), F.lit(":"), text).cast("binary"))).alias("k"))
     keys = base.select("id", "k", F.floor(F.length("text") / 2).cast("int").alias("half")).distinct()
     order = written(successors(keys), "order")
     back = order.select(F.col("next_k").alias("k"), F.col("k").alias("to_k"), "half")
