@@ -54,8 +54,8 @@ def emitted(rows, schema, most: int = 8 << 20):
         yield batch_of(schema, held)
 
 
-def pack(docs: DataFrame, id_col: str, text_col: str, flag: Column, level: int = 3) -> DataFrame:
-    """Documents as blocks: ids, flags, byte lengths and the compressed whole texts."""
+def pack(docs: DataFrame, id_col: str, text_col: str, flag: Column, level: int = 3, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Documents as blocks: ids, flags, byte lengths and the compressed whole texts, A-Z lower-cased."""
     from pyspark.sql.types import ArrayType, StructField, StructType
 
     id_type = docs.schema[id_col].dataType
@@ -76,10 +76,10 @@ def pack(docs: DataFrame, id_col: str, text_col: str, flag: Column, level: int =
 
         texts, ids, flags, size = [], [], [], 0
         for i, f, t in rows_of(batches):
-            if texts and (size + len(t) > BLOCK_BYTES or len(texts) >= bg.MAX_DOCS):
+            if texts and (size + len(t) > block_bytes or len(texts) >= bg.MAX_DOCS):
                 yield batch_of(out, [block(texts, ids, flags)])
                 texts, ids, flags, size, k = [], [], [], 0, k + 1
-            texts.append(t)
+            texts.append(t.lower())
             ids.append(i)
             flags.append(bool(f))
             size += len(t)
@@ -129,7 +129,7 @@ def word_buckets(words: list[bytes], n: int) -> np.ndarray:
     return np.fromiter(map(crc32, words), np.int64, len(words)) % n
 
 
-def _count(packed: DataFrame, depth: int, n_buckets: int, n_salts: int, words: bool, lower: bool) -> DataFrame:
+def _count(packed: DataFrame, depth: int, n_buckets: int, n_salts: int, words: bool) -> DataFrame:
     """(bucket, salt, block, kind, keys, counts): the distinct grams of every block, counted over flagged documents."""
     ddl = "bucket int, salt int, block bigint, kind int, a binary, b binary"
     out = arrow_of(ddl)
@@ -137,8 +137,6 @@ def _count(packed: DataFrame, depth: int, n_buckets: int, n_salts: int, words: b
     def rows(batches):
         for block, flags, lens, payload in rows_of(batches):
             texts, w = unpacked(lens, payload), np.frombuffer(flags, np.uint8).astype(np.float64)
-            if lower:
-                texts = [t.lower() for t in texts]
             uniq, inv, d = bg.runs(bg.doc_grams(texts, depth))
             counts = np.bincount(inv, weights=w[d], minlength=len(uniq)).astype(np.int64)
             del inv, d
@@ -204,7 +202,7 @@ def _merge(rows: DataFrame, keys: list[str]) -> DataFrame:
     return keyed_stream(rows.select(*keys, "a", "b"), keys, [], lambda it: emitted(merged(rows_of(it)), out), ddl)
 
 
-def ngram_scores(packed: DataFrame, depth: int, summary, build, words: bool = False, lower: bool = True,
+def ngram_scores(packed: DataFrame, depth: int, summary, build, words: bool = False,
                  salted: int = BLOCKS_PER_SALT) -> tuple[DataFrame, dict]:
     """One row per document: ``id``, ``flag``, ``n_bytes``, ``score`` (sum of the
     model's log10 probabilities of its symbols) and, with ``words``,
@@ -218,7 +216,7 @@ def ngram_scores(packed: DataFrame, depth: int, summary, build, words: bool = Fa
     spark = packed.sparkSession
     n_buckets = max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     n_salts = 1 + packed.count() // salted
-    rows = _count(packed, depth, n_buckets, n_salts, words, lower)
+    rows = _count(packed, depth, n_buckets, n_salts, words)
     part = _merge(rows, ["bucket", "salt", "kind"])
     whole = written(_merge(part, ["bucket", "kind"]), "grams")
 
@@ -276,8 +274,6 @@ def ngram_scores(packed: DataFrame, depth: int, summary, build, words: bool = Fa
                 got[kind, bucket] = a
                 continue
             texts = unpacked(lens, a)
-            if lower:
-                texts = [t.lower() for t in texts]
             uniq, inv, d = bg.runs(bg.doc_grams(texts, depth))
             logs = np.zeros(len(uniq))
             for b, at in by_bucket(bucket_of(uniq, n_buckets)):

@@ -18,15 +18,13 @@ STRIP = b".,;:!?\"'()[]{}<>|*%$&#@-_=+/\\~`^"
 
 
 def word_features(word: bytes) -> list[int]:
-    """Hashed features of one lower-cased word: the word and its beginnings, without punctuation around it."""
+    """Hashed features of one lower-cased word without the punctuation around it: the word, and its beginnings by bytes."""
     from zlib import crc32
     word = word.strip(STRIP)
     if not word:
         return []
-    text = word.decode("utf-8", "replace")
-    got = [crc32(b"w:" + word)]
-    got += [crc32(f"p{n}:{text[:n]}".encode()) for n in PREFIXES if len(text) > n]
-    return [x & ((1 << BITS) - 1) for x in got]
+    most = (1 << BITS) - 1
+    return [crc32(word) & most, *[crc32(word[:n], n) & most for n in PREFIXES if len(word) > n]]
 
 
 def labelled_sample(docs: DataFrame, labelled: DataFrame, label: str, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -93,21 +91,24 @@ class Featurizer:
 
     def __init__(self, chosen: np.ndarray):
         self.column = {int(f): i for i, f in enumerate(chosen)}
-        self.cache: dict[bytes, tuple] = {}
+        self.cache: dict[bytes, tuple | None] = {}
+
+    def _learn(self, words: set) -> None:
+        cache, column = self.cache, self.column
+        for w in words:
+            got = [column[f] for f in word_features(w) if f in column]
+            cache[w] = tuple(set(got)) if got else None
 
     def __call__(self, text: bytes) -> tuple[list[int], list[float], int]:
         """(columns, 1 + log(count), number of words)."""
         from math import log
-        cache, words = self.cache, text.lower().split()
+        words = text.lower().split()
+        distinct = set(words)
+        if len(self.cache) + len(distinct) > 600_000:
+            self.cache.clear()
+        self._learn(distinct.difference(self.cache))
         hits: dict[int, int] = {}
-        known = [cache.get(w) for w in words]
-        for w, got in zip(words, known):
-            if got is None:
-                got = cache.get(w)
-                if got is None:
-                    if len(cache) > 300_000:
-                        cache.clear()
-                    got = cache[w] = tuple({self.column[f] for f in word_features(w) if f in self.column})
+        for got in filter(None, map(self.cache.__getitem__, words)):
             for c in got:
                 hits[c] = hits.get(c, 0) + 1
         return list(hits), [1 + log(n) for n in hits.values()], len(words)

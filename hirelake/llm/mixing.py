@@ -93,6 +93,8 @@ def fit_rates(members: DataFrame, targets: np.ndarray, scale: float = 1.0, ridge
     top eigenvalue of a matrix of domains x domains, so the step is safe.
     """
     k = len(targets)
+    if k == 0:
+        return [], 0.0, np.zeros(0)
     names = [f"m{i}" for i in range(k + k * k)]
     ddl = "total double, " + ", ".join(f"{n} double" for n in names)
     out = arrow_of(ddl)
@@ -114,7 +116,7 @@ def fit_rates(members: DataFrame, targets: np.ndarray, scale: float = 1.0, ridge
         return got[0], np.array(got[1:1 + k]), np.array(got[1 + k:]).reshape(k, k)
 
     total, have, gram = sums(lambda p: np.ones(len(p)))
-    if total == 0 or k == 0:
+    if total == 0:
         return [], 0.0, np.zeros(k)
     weight = 1 / np.maximum(have / total, 1e-4)
     root = np.sqrt(weight)

@@ -13,7 +13,8 @@ from hirelake.llm.common import arrow_schema, read, text_bytes, written
 
 LENGTH = 4096
 END_ID = 2
-CACHE = 400_000
+CACHE = 1_000_000
+TAIL = ".,;:!?*%$&#)"
 
 
 def default_tokenizer() -> str:
@@ -21,11 +22,21 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE writes for each byte: printable ones for
+    themselves, the others in order from U+0100."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordTokenizer:
-    """Ids of whole texts for a tokenizer that treats white space as a separator only.
+    """Ids of whole texts for a lower-casing word BPE tokenizer, for which white
+    space is a separator only.
 
     A text's ids are those of its space-separated parts, so each part is
-    tokenized once while the (bounded) cache holds it.
+    tokenized once while the (bounded) cache holds it.  Parts of plain Latin
+    letters go to the BPE model at once; all others take the whole tokenizer.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -34,6 +45,7 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        self.letters = byte_letters()
         self.cache: dict[bytes, bytes] = {}
         self.end = self._packed([end_id])
 
@@ -42,20 +54,39 @@ class WordTokenizer:
         from array import array
         return array("I", ids).tobytes()
 
+    def _whole(self, text: str) -> bytes:
+        return self._packed(self.tok.encode(text, add_special_tokens=False).ids)
+
+    def _learn(self, word: bytes) -> bytes:
+        """Letters first, then the punctuation behind them: the tokenizer starts a new piece where letters end."""
+        text = word.decode("utf-8", "replace")
+        core = text.rstrip(TAIL)
+        low = core.lower()
+        if not (low.isalpha() and max(low) < "\u0250"):
+            return self._whole(text)
+        key = low.encode()
+        got = self.cache.get(key)
+        if got is None:
+            seen = low if len(key) == len(low) else key.decode("latin-1").translate(self.letters)
+            got = self.cache[key] = self._packed([t.id for t in self.tok.model.tokenize(seen)])
+        if len(core) == len(text):
+            return got
+        tail = text[len(core):].encode()
+        if tail not in self.cache:
+            self.cache[tail] = self._whole(tail.decode())
+        return got + self.cache[tail]
+
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, end id included."""
-        parts = [t.split() for t in texts]
-        cache = self.cache
-        new = list({w for p in parts for w in p if w not in cache})
-        if len(cache) + len(new) > CACHE:
-            cache.clear()
-            new = list({w for p in parts for w in p})
-        for k in range(0, len(new), 20_000):
-            some = new[k:k + 20_000]
-            got = self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            for w, e in zip(some, got):
-                cache[w] = self._packed(e.ids)
-        return [b"".join([*map(cache.__getitem__, p), self.end]) for p in parts]
+        out, cache = [], self.cache
+        for t in texts:
+            parts = t.split()
+            if len(cache) > CACHE:
+                cache.clear()
+            for w in set(parts).difference(cache):
+                cache[w] = self._learn(w)
+            out.append(b"".join([*map(cache.__getitem__, parts), self.end]))
+        return out
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
