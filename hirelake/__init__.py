@@ -6,7 +6,6 @@ Layers (each a set of functions that take and return DataFrames or Columns):
 * ``operators``  DataFrame operators (mapping, filters, silver/gold layers, explore, quality).
 * ``sources``    readers and writers (CSV/Parquet scans, lake and table sinks, catalog discovery).
 * ``plans``      composed jobs (test-table adapter, batch pipeline, query registry, SQL oracles).
-* ``streaming``  intentionally empty: the workload is batch only.
 """
 
 __version__ = "0.1.0"

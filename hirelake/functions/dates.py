@@ -12,7 +12,10 @@ ISO_DATETIME = (r"^\d{4}-\d{2}-\d{2}"
                 r"(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?:Z|[+-]\d{2}:?\d{2})?)?$")
 
 GENERAL_DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "M/d/yyyy", "dd-MMM-yyyy",
-                        "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd")
+                        "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd", "yyyy-M-d", "yyyy/M/d", "d MMM yyyy",
+                        "d MMMM yyyy", "MMM d yyyy", "MMMM d yyyy")
+# A time of day (and zone) after the date is read and dropped.
+TIME_TAIL = r"(?i)[ T,]+\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s*([AP]\.?M\.?)?\s*(Z|UTC|GMT|[+-]\d{2}:?\d{2})?$"
 
 
 def as_date_literal(d) -> Column:
@@ -42,11 +45,14 @@ def parse_date_general(c, epoch_unit: str | None = None) -> Column:
     """
     c = col_of(c)
     t = trim_ws(c.cast("string"))
-    parsed = [parse_iso_date(t)] + [F.try_to_date(t, f) for f in GENERAL_DATE_FORMATS]
+    day = F.regexp_replace(t, TIME_TAIL, "")
+    parsed = [parse_iso_date(t)] + [F.try_to_date(day, f) for f in GENERAL_DATE_FORMATS]
     if epoch_unit:
         div = {"s": 1, "ms": 1000, "us": 1_000_000, "ns": 1_000_000_000}[epoch_unit]
-        num = F.when(t.rlike(r"^-?\d+$"), t.cast("long"))
-        parsed.append(F.to_date(F.timestamp_seconds(F.floor(num / F.lit(div)))))
+        num = F.when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), t.try_cast("double"))
+        seconds = F.floor(num / F.lit(div))
+        # years 1 to 9999; a number beyond them is no date
+        parsed.append(F.to_date(F.timestamp_seconds(F.when(seconds.between(-62135596800, 253402300799), seconds))))
     return F.coalesce(*parsed)
 
 

@@ -1,53 +1,76 @@
-"""Whitelisted canned queries with argument coercion.
+"""Whitelisted canned queries.
 
-Only the names in ``CANNED`` can run; anything else is refused with the list
-of allowed names.  Arguments are coerced and clamped, never spliced into SQL.
+A query is a function of the context's relations and of at most one whole
+number, described by a :class:`Number`.  :func:`run_canned` reads and bounds
+that number; the query functions themselves honour any value.
 """
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Any, Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from hirelake.functions.dates import months_back_start
+from hirelake.functions.dates import months_back_start, today_utc
 from hirelake.functions.vocab import (RECENT_MONTHS_DEFAULT, RECENT_MONTHS_MAX, RECENT_MONTHS_MIN,
                                       TOP_SKILLS_DEFAULT, TOP_SKILLS_MAX, TOP_SKILLS_MIN)
-from hirelake.operators.explore import coerce_int
-from hirelake.operators.gold import source_row_counts as _source_row_counts
+from hirelake.operators.gold import source_row_counts
+from hirelake.operators.quality import raw_table_health
 
 
-def source_row_counts(curated: DataFrame) -> DataFrame:
-    return _source_row_counts(curated)
+@dataclass(frozen=True)
+class Number:
+    """A whole-number argument: what stands in for unreadable input, and its bounds."""
+    name: str
+    default: int
+    least: int
+    most: int
 
+    def read(self, given: Any) -> int:
+        text = str(given).strip() if isinstance(given, (str, int, float)) else ""
+        try:
+            number = int(given) if not isinstance(given, str) else int(text)
+        except (TypeError, ValueError, OverflowError):
+            number = self.default
+        return min(max(number, self.least), self.most)
 
-def top_skills(skill_demand: DataFrame, limit: Any = TOP_SKILLS_DEFAULT) -> DataFrame:
+
+def top_skills(skill_demand: DataFrame, limit: int = TOP_SKILLS_DEFAULT) -> DataFrame:
     """Top skills by postings; ties by name.  Planned as a distributed top-k."""
-    k = coerce_int(limit, TOP_SKILLS_DEFAULT, TOP_SKILLS_MIN, TOP_SKILLS_MAX)
-    return skill_demand.orderBy(F.col("job_postings").desc(), F.col("skill").asc()).limit(k) \
+    return skill_demand.orderBy(F.col("job_postings").desc(), F.col("skill").asc()).limit(int(limit)) \
         .select("skill", "job_postings", "source_count")
 
 
-def recent_volume(posting_volume: DataFrame, months: Any = RECENT_MONTHS_DEFAULT, as_of=None) -> DataFrame:
+def recent_volume(posting_volume: DataFrame, months: int = RECENT_MONTHS_DEFAULT, as_of=None) -> DataFrame:
     """Volume rows from the month ``months`` before as_of's month onward
     (so ``months + 1`` calendar months), newest first."""
-    from hirelake.functions.dates import today_utc
-    m = coerce_int(months, RECENT_MONTHS_DEFAULT, RECENT_MONTHS_MIN, RECENT_MONTHS_MAX)
-    start = months_back_start(as_of or today_utc(), m)
+    start = months_back_start(as_of or today_utc(), int(months))
     return posting_volume.where(F.col("posting_month") >= start) \
         .orderBy(F.col("posting_month").desc(), F.col("source_id").asc())
 
 
-def raw_table_health(spark, tables, database=None) -> DataFrame:
-    from hirelake.operators.quality import raw_table_health as _health
-    return _health(spark, tables, database)
-
-
-CANNED: dict[str, Callable[..., DataFrame]] = {
-    "source_row_counts": lambda ctx, **_: source_row_counts(ctx["curated"]),
-    "top_skills": lambda ctx, **kw: top_skills(ctx["skill_demand"], kw.get("limit", TOP_SKILLS_DEFAULT)),
-    "posting_volume": lambda ctx, **kw: recent_volume(ctx["posting_volume"], kw.get("months", RECENT_MONTHS_DEFAULT),
-                                                      ctx.get("as_of")),
-    "raw_table_health": lambda ctx, **_: raw_table_health(ctx["spark"], ctx["raw_tables"], ctx.get("database")),
+@dataclass(frozen=True)
+class Canned:
+    build: Callable[..., DataFrame]
+    needs: tuple[str, ...]
+    wants: tuple[str, ...] = ()
+    number: Number | None = None
+
+    def run(self, context: dict, arguments: dict) -> DataFrame:
+        """``needs`` are passed in order, ``wants`` by name where the context has them."""
+        given = {k: context[k] for k in self.wants if k in context}
+        if self.number:
+            given[self.number.name] = self.number.read(arguments.get(self.number.name, self.number.default))
+        return self.build(*(context[k] for k in self.needs), **given)
+
+
+CANNED = {
+    "source_row_counts": Canned(source_row_counts, ("curated",)),
+    "top_skills": Canned(top_skills, ("skill_demand",),
+                         number=Number("limit", TOP_SKILLS_DEFAULT, TOP_SKILLS_MIN, TOP_SKILLS_MAX)),
+    "posting_volume": Canned(recent_volume, ("posting_volume",), ("as_of",),
+                             Number("months", RECENT_MONTHS_DEFAULT, RECENT_MONTHS_MIN, RECENT_MONTHS_MAX)),
+    "raw_table_health": Canned(raw_table_health, ("spark", "raw_tables"), ("database",)),
 }
 
 
@@ -56,7 +79,7 @@ def run_canned(name: str, context: dict, **arguments) -> DataFrame:
     the raw table names; unknown names raise ValueError listing allowed ones."""
     if name not in CANNED:
         raise ValueError(f"unknown query {name!r}; allowed: {sorted(CANNED)}")
-    return CANNED[name](context, **arguments)
+    return CANNED[name].run(context, arguments)
 
 
 def try_canned(name: str, context: dict, **arguments) -> tuple[DataFrame | None, str | None]:

@@ -3,35 +3,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from hirelake.functions.skills import empty_list, extract_taxonomy, hybrid_skills, jaccard, with_taxonomy
+from hirelake.functions.skills import empty_list, hybrid_skills, jaccard, with_taxonomy
 from hirelake.functions.text import blank_to_null, col_of
 from hirelake.functions.vocab import COMPARE_SAMPLE, SNIPPET_CHARS
 from hirelake.operators.filters import has_title_or_description
 
 
-def sample_nonblank(df: DataFrame, n: int = COMPARE_SAMPLE, order_by=("row_id",),
+def sample_nonblank(df: DataFrame, n: int | None = COMPARE_SAMPLE, order_by=("row_id",),
                     title="job_title", description="job_description") -> DataFrame:
     """First ``n`` rows (by ``order_by``) with a non-blank title or description.
 
-    The limit is the operator (a sample); the order makes it repeatable.
+    The limit is the operator (a sample); the order makes it repeatable.  With
+    ``n=None`` every such row is returned, in no order.
     """
-    return df.where(has_title_or_description(title, description)) \
-             .orderBy(*[col_of(c).asc_nulls_last() for c in order_by]).limit(int(n))
-
-
-def materialized_sample(df: DataFrame, n: int = COMPARE_SAMPLE, order_by=("row_id",),
-                        title="job_title", description="job_description") -> DataFrame:
-    """:func:`sample_nonblank`, written once into ``spark.checkpoint.dir``.
-
-    The sample is taken with a per-partition top-k over the cheap columns;
-    the checkpoint (at most ``n`` rows) cuts the lineage so the expensive
-    per-row work that follows runs on the sample only.  Without the cut Spark
-    would move those projections below the limit and compute them for every
-    row before sorting.
-    """
-    from hirelake.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    return sample_nonblank(df, n, order_by, title, description).checkpoint(eager=True)
+    rows = df.where(has_title_or_description(title, description))
+    if n is None:
+        return rows
+    return rows.orderBy(*[col_of(c).asc_nulls_last() for c in order_by]).limit(int(n))
 
 
 def compare_skills(df: DataFrame, row_id="row_id", title="job_title", description="job_description",
@@ -41,8 +29,8 @@ def compare_skills(df: DataFrame, row_id="row_id", title="job_title", descriptio
     ``other`` is any ``array<string>`` column: a list already in the table or
     the output of :func:`hirelake.operators.enrich.enrich`.
     """
-    t, d = blank_to_null(title), blank_to_null(description)
-    tax = extract_taxonomy(t, d, taxonomy)
+    df = with_taxonomy(df, title, description, "_tax", taxonomy)  # a column first, so it is computed once
+    t, d, tax = blank_to_null(title), blank_to_null(description), F.col("_tax")
     oth = F.coalesce(col_of(other), empty_list())
     desc = F.coalesce(d, F.lit(""))
     snippet = F.when(F.length(desc) > snippet_chars,

@@ -1,60 +1,82 @@
 """Batched row enrichment by a caller-supplied function (e.g. a model client).
 
-Rows travel to Python in Arrow batches via ``mapInPandas``; inside a task they
-are cut into groups of ``batch_size`` rows and handed to ``fn`` together.  A
-group whose call fails, or whose reply has fewer lists than rows, gets empty
-lists and the job goes on.  Texts are passed whole; ``fn`` decides what to send.
+Rows travel to Python as Arrow data; only the input columns become Python
+values, all other columns pass through untouched.  A task cuts its rows, in
+order and across Arrow batches, into groups of ``batch_size`` and hands each to
+``fn``.  A group whose call fails, or whose reply has fewer lists than rows,
+gets empty lists and ``enrich_failed`` set, and the job goes on.  Texts are
+passed whole; ``fn`` decides what to send.
 """
 from __future__ import annotations
 
+import sys
 from typing import Callable, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from hirelake.functions.vocab import ENRICH_BATCH
 
+# Task code of this module is shipped by value: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EnrichFn = Callable[[Sequence[tuple]], Sequence]
 
 
-def _clean(items) -> list[str]:
+def clean_items(items) -> list[str]:
+    """The trimmed texts of a reply's items, without falsy and blank ones."""
     if not isinstance(items, (list, tuple)):
         return []
-    out = []
-    for x in items:
-        if x is None:
-            continue
-        s = str(x).strip()
-        if s:
-            out.append(s)
-    return out
+    return [s for s in (str(x).strip() for x in items if x) if s]
 
 
 def enrich(df: DataFrame, fn: EnrichFn, batch_size: int = ENRICH_BATCH,
            inputs: Sequence[str] = ("job_title", "job_description"),
-           out: str = "skills_enriched") -> DataFrame:
-    schema = StructType(list(df.schema.fields) + [StructField(out, ArrayType(StringType()))])
+           out: str = "skills_enriched", failed: str = "enrich_failed") -> DataFrame:
+    """All columns, the skill lists that ``fn`` found, and whether the row's group failed."""
+    schema = StructType([*df.schema.fields, StructField(out, ArrayType(StringType())), StructField(failed, BooleanType())])
+    arrow = to_arrow_schema(schema)
     size = max(1, int(batch_size))
-    cols = list(inputs)
+    at = [df.columns.index(c) for c in inputs]
+
+    def reply(rows):
+        try:
+            got = list(fn(rows))
+            if len(got) < len(rows):
+                raise ValueError("short reply")
+            return [clean_items(r) for r in got[:len(rows)]], False
+        except Exception:  # noqa: BLE001 - a failed group is marked, and the job goes on
+            return [[] for _ in rows], True
 
     def run(batches):
-        for pdf in batches:
-            rows = list(zip(*[pdf[c].where(pdf[c].notna(), None).tolist() for c in cols])) if len(pdf) else []
-            results: list[list[str]] = []
-            for i in range(0, len(rows), size):
-                chunk = rows[i:i + size]
-                try:
-                    reply = list(fn(chunk))
-                    if len(reply) < len(chunk):
-                        raise ValueError("short reply")
-                    results.extend(_clean(r) for r in reply[:len(chunk)])
-                except Exception:  # noqa: BLE001 - a failed group yields empty lists
-                    results.extend([] for _ in chunk)
-            pdf = pdf.copy()
-            pdf[out] = results
-            yield pdf
-
-    return df.mapInPandas(run, schema)
+        import pyarrow as pa
+
+        def answered(group):
+            table = pa.Table.from_batches(group).combine_chunks()
+            rows = list(zip(*[table.column(i).to_pylist() for i in at]))
+            lists, bad = reply(rows)
+            columns = [c if c.type.equals(f.type) else c.cast(f.type) for c, f in zip(table.columns, arrow)]
+            columns += [pa.chunked_array([pa.array(lists, pa.list_(pa.string()))]).cast(arrow.field(len(columns)).type),
+                        pa.chunked_array([pa.array([bad] * len(rows), pa.bool_())])]
+            yield from pa.Table.from_arrays(columns, schema=arrow).to_batches()
+
+        group, held = [], 0
+        for batch in batches:
+            start = 0
+            while start < batch.num_rows:
+                part = batch.slice(start, size - held)
+                group.append(part)
+                held += part.num_rows
+                start += part.num_rows
+                if held == size:
+                    yield from answered(group)
+                    group, held = [], 0
+        if held:
+            yield from answered(group)
+
+    return df.mapInArrow(run, schema)
 
 
 def title_terms_in_description(rows: Sequence[tuple]) -> list[list[str]]:
@@ -63,10 +85,6 @@ def title_terms_in_description(rows: Sequence[tuple]) -> list[list[str]]:
     out = []
     for title, desc in rows:
         d = (desc or "").lower()
-        seen: list[str] = []
-        for w in (title or "").lower().split():
-            w = w.strip(".,;:!?()[]{}\"'")
-            if len(w) >= 3 and w in d and w not in seen:
-                seen.append(w)
-        out.append(seen)
+        words = (w.strip(".,;:!?()[]{}\"'") for w in (title or "").lower().split())
+        out.append(list(dict.fromkeys(w for w in words if len(w) >= 3 and w in d)))
     return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from hirelake.functions.dates import month_start
-from hirelake.functions.flags import is_complete, quality_bucket
+from hirelake.functions.flags import is_complete, is_complete_flags, quality_bucket
 
 
 def curate(dedup: DataFrame, keep=()) -> DataFrame:
@@ -20,11 +20,15 @@ def curate(dedup: DataFrame, keep=()) -> DataFrame:
 
 
 def posting_volume(dedup: DataFrame) -> DataFrame:
-    """Postings and complete postings per (source, month); undated rows excluded."""
+    """Postings and complete postings per (source, month); undated rows excluded.
+
+    Deduplicated rows carry their text flags, so the texts are not read again."""
+    flagged = {"_has_title", "_has_description"} <= set(dedup.columns)
+    complete = is_complete_flags("_has_title", "_has_description") if flagged else is_complete()
     return (dedup.where(F.col("posted_date").isNotNull())
                  .groupBy("source_id", month_start("posted_date").alias("posting_month"))
                  .agg(F.count(F.lit(1)).alias("job_postings"),
-                      F.count_if(is_complete()).alias("complete_postings")))
+                      F.count_if(complete).alias("complete_postings")))
 
 
 def skill_demand(skills_long: DataFrame) -> DataFrame:
@@ -50,4 +54,6 @@ def cross_source_urls(dedup: DataFrame) -> DataFrame:
 
 
 def source_row_counts(curated: DataFrame) -> DataFrame:
-    return curated.groupBy("source_id").agg(F.count(F.lit(1)).alias("job_count"))
+    """Rows per source, most first."""
+    return (curated.groupBy("source_id").agg(F.count(F.lit(1)).alias("job_count"))
+                   .orderBy(F.col("job_count").desc(), F.col("source_id").asc_nulls_last()))

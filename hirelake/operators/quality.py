@@ -4,6 +4,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, TimestampNTZType
 
@@ -19,21 +20,27 @@ def _qualified(name: str, database: str | None) -> str:
 
 def raw_table_health(spark: SparkSession, tables: Sequence[str], database: str | None = None,
                      ts_col: str = "ingested_at") -> DataFrame:
-    """Row count and latest ``ingested_at`` per table; a missing table gives a
-    row with ``error = 'not_found'`` instead of failing the job."""
+    """Row count and latest ``ingested_at`` per table.  A missing table gives a
+    row with ``error = 'not_found'``, one that cannot be analysed (no such
+    column, unreadable) a row with its error; neither fails the job."""
+    def unusable(name: str, why: str) -> DataFrame:
+        return spark.range(1).select(
+            F.lit(name).alias("table_name"), F.lit(None).cast(LongType()).alias("row_count"),
+            F.lit(None).cast(TimestampNTZType()).alias("last_ingested"), F.lit(why).alias("error"))
+
     parts = []
     for t in tables:
-        if spark.catalog.tableExists(_qualified(t, database)):
+        if not spark.catalog.tableExists(_qualified(t, database)):
+            parts.append(unusable(t, "not_found"))
+            continue
+        try:
             parts.append(spark.table(_qualified(t, database)).agg(
                 F.lit(t).alias("table_name"),
                 F.count(F.lit(1)).cast(LongType()).alias("row_count"),
                 F.max(F.col(ts_col).cast(TimestampNTZType())).alias("last_ingested"),
                 F.lit(None).cast(StringType()).alias("error")))
-        else:
-            parts.append(spark.range(1).select(
-                F.lit(t).alias("table_name"), F.lit(None).cast(LongType()).alias("row_count"),
-                F.lit(None).cast(TimestampNTZType()).alias("last_ingested"),
-                F.lit("not_found").alias("error")))
+        except AnalysisException as e:
+            parts.append(unusable(t, e.getCondition() or "unreadable"))
     if not parts:
         raise ValueError("no tables to check")
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -44,6 +51,7 @@ def quality_gate(health: DataFrame, as_of, max_age_hours: float | None = None,
     """Failures of the strict gate, one row each: (table_name, failure, age_hours).
 
     * missing table -> 'missing' (ignored for ``optional`` tables)
+    * any other error -> 'error'
     * zero or unknown row count -> 'zero_rows'
     * ``now - last_ingested > max_age_hours`` -> 'stale' (skipped when the
       limit is 0/None or ``ignore_stale``)
@@ -53,12 +61,14 @@ def quality_gate(health: DataFrame, as_of, max_age_hours: float | None = None,
     now = F.lit(str(as_of)).cast(TimestampNTZType())
     optional = list(optional)
     missing = F.coalesce(F.col("error") == "not_found", F.lit(False))
+    broken = ~missing & F.col("error").isNotNull()
     age = F.timestamp_diff("MICROSECOND", F.col("last_ingested"), now).cast("double") / F.lit(3.6e9)
     null_age = F.lit(None).cast("double")
     checks = [
         F.when(missing & ~F.col("table_name").isin(optional) if optional else missing,
                F.struct(F.lit("missing").alias("failure"), null_age.alias("age_hours"))),
-        F.when(~missing & F.coalesce(F.col("row_count") == 0, F.lit(True)),
+        F.when(broken, F.struct(F.lit("error").alias("failure"), null_age.alias("age_hours"))),
+        F.when(~missing & ~broken & F.coalesce(F.col("row_count") == 0, F.lit(True)),
                F.struct(F.lit("zero_rows").alias("failure"), null_age.alias("age_hours"))),
     ]
     if max_age_hours and not ignore_stale:

@@ -3,8 +3,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType
 
+from hirelake.functions.flags import has_text
 from hirelake.functions.fingerprint import dedup_key, fingerprint
 from hirelake.functions.skills import normalize_skills
 from hirelake.functions.text import blank_to_null, trim_ws
@@ -51,26 +53,38 @@ def with_dedup_key(df: DataFrame) -> DataFrame:
               .withColumn("_dedup_fingerprint", fingerprint("_dedup_key")))
 
 
+#: Besides ``ingested_at`` and ``job_url``, what tells two rows of a key apart.
+TIE_COLUMNS = ("source_name", "job_title", "job_description", "company_name", "location", "skills_raw", "salary_info")
+
+
+def row_digest(df: DataFrame, columns) -> Column:
+    """128-bit digest of the columns' texts (lists as JSON; a null differs from every text)."""
+    texts = [F.to_json(c) if isinstance(df.schema[c].dataType, ArrayType) else F.col(c).cast("string") for c in columns]
+    parts = [F.coalesce(t, F.lit("\x01")) for t in texts]
+    return F.md5(F.concat_ws("\x1f", *parts).cast("binary"))
+
+
 def deduplicate(df: DataFrame, keep_key: bool = False, tie_breakers=()) -> DataFrame:
-    """One row per (source_id, fingerprint): latest ``ingested_at`` wins.
-
-    Ties on ``ingested_at`` fall to ``job_url`` and then to the remaining
-    content columns, so the winner is deterministic.  The window is partitioned
-    by the exact key string as well as its hash, so a 64-bit collision can
-    never merge two postings.  ``row_number() = 1`` lets Spark insert a partial
-    group limit before the shuffle, so a hot key (e.g. all undated postings of
-    a source, whose key is NULL) is cut down map-side.
+    """One row per dedup key of a source: latest ``ingested_at`` wins.
+
+    Ties fall to ``job_url`` and then to one fixed-size digest of all other
+    content, so the winner does not depend on the input order.  The window is
+    partitioned by a 128-bit digest of the key (null stays null), and the text
+    flags that the counts need are taken here, before the shuffle: a query that
+    does not return texts does not move them.  ``row_number() = 1`` lets Spark
+    insert a partial group limit before the shuffle, so a hot key (e.g. all
+    undated postings of a source, whose key is NULL) is cut down map-side.
     """
-    keyed = with_dedup_key(df)
-    order = [F.col("ingested_at").desc_nulls_last(), F.col("job_url").asc_nulls_last()]
-    for c in ("job_description", "skills_raw", "salary_info", "job_title", "company_name", "location"):
-        if c in keyed.columns:
-            order.append(F.col(c).asc_nulls_last())
-    order += [F.col(c).asc_nulls_last() for c in tie_breakers]
-    w = Window.partitionBy("source_id", "_dedup_fingerprint", "_dedup_key").orderBy(*order)
+    ties = [c for c in (*TIE_COLUMNS, *tie_breakers) if c in df.columns]
+    keyed = (with_dedup_key(df).withColumn("_dedup_group", F.md5(F.col("_dedup_key").cast("binary")))
+             .withColumn("_dedup_tie", row_digest(df, ties))
+             .withColumn("_has_title", has_text("job_title")).withColumn("_has_description", has_text("job_description")))
+    if not keep_key:
+        keyed = keyed.drop("_dedup_key")
+    w = Window.partitionBy("source_id", "_dedup_group").orderBy(
+        F.col("ingested_at").desc_nulls_last(), F.col("job_url").asc_nulls_last(), F.col("_dedup_tie").asc())
     out = keyed.withColumn("_dedup_rank", F.row_number().over(w)).where(F.col("_dedup_rank") == 1)
-    out = out.drop("_dedup_rank")
-    return out if keep_key else out.drop("_dedup_key")
+    return out.drop("_dedup_rank", "_dedup_group", "_dedup_tie")
 
 
 def skills_long(dedup: DataFrame) -> DataFrame:

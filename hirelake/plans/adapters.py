@@ -37,28 +37,9 @@ URL_PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
 WORD = r"\p{L}+"
 
 
-# Tables whose rows carry long texts: per-row work on them is CPU heavy.
-TEXT_TABLES = ("documents", "pages", "conversations")
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one supplied table; text tables are spread if the scan is narrow.
-
-    A file with a single row group is read by a single task, so all the
-    per-row text work after it would run on one core.  When such a scan has
-    fewer partitions than the default parallelism its rows are redistributed
-    round-robin (no key, so no skew); large, well-split inputs are left as is,
-    and narrow tables with cheap rows are not worth an extra exchange.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    """Scan one supplied table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _src(table: str):

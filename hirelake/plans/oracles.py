@@ -182,9 +182,9 @@ keyed AS (
 dedup AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY source_id, dedup_key ORDER BY ingested_at DESC NULLS LAST,
-      job_url ASC NULLS LAST, job_description ASC NULLS LAST, skills_raw ASC NULLS LAST,
-      salary_info ASC NULLS LAST, job_title ASC NULLS LAST, company_name ASC NULLS LAST,
-      location ASC NULLS LAST, row_key ASC NULLS LAST) AS rn
+      job_url ASC NULLS LAST, md5(concat_ws(chr(31), coalesce(source_name, chr(1)), coalesce(job_title, chr(1)),
+        coalesce(job_description, chr(1)), coalesce(company_name, chr(1)), coalesce(location, chr(1)),
+        coalesce(skills_raw, chr(1)), coalesce(salary_info, chr(1)), coalesce(row_key, chr(1)))) ASC) AS rn
     FROM keyed) WHERE rn = 1
 ),
 skills_long AS (

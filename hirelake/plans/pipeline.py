@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hirelake.operators import gold as G
 from hirelake.operators import master as M
 from hirelake.operators import silver as S
+from hirelake.session import scratch_path
 from hirelake.sources import sinks
 from hirelake.sources.catalog import RAW_TABLE_IDS, present_sources
 
@@ -67,12 +68,9 @@ def load(spark: SparkSession, sources: list[SourceSpec], base: str, only: str |
 def persist_point(df: DataFrame, path: str | None) -> DataFrame:
     """Write a reused intermediate once; read it back for every consumer."""
     spark = df.sparkSession
-    if path:
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    from hirelake.session import checkpoint_root
-    checkpoint_root(spark)
-    return df.checkpoint(eager=True)
+    path = path or scratch_path(spark, "persisted")  # Parquet either way, so that consumers read only their columns
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def build_marts(raw_frames: list[DataFrame], out: str | None = None) -> Marts:

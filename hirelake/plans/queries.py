@@ -366,7 +366,7 @@ def q_sources_priority(spark, sf_dir):
 SELECT skill, job_postings, source_count FROM skill_demand ORDER BY job_postings DESC, skill ASC LIMIT 15"""))
 def q_top_skills(spark, sf_dir):
     from hirelake.operators.canned import top_skills
-    return top_skills(skill_demand(spark, sf_dir), limit="15")
+    return top_skills(skill_demand(spark, sf_dir), limit=15)
 
 
 RECENT_MONTHS = 6
@@ -544,10 +544,7 @@ COMPARE_N = 300
 
 
 def _compare(spark, sf_dir) -> DataFrame:
-    # Sample the raw union first (whitespace-only titles and descriptions are
-    # blank either way), then standardize and compare just the sampled rows.
-    sample = CMP.materialized_sample(stg_k(spark, sf_dir), COMPARE_N, order_by=("row_key",))
-    s = S.standardize(sample, keep=("row_key",))
+    s = CMP.sample_nonblank(std_k(spark, sf_dir), None)
     return CMP.compare_skills(s, row_id="row_key", other="skills_normalized")
 
 
@@ -557,7 +554,6 @@ def _compare_sql() -> str:
     return f"""
 sample AS (
   SELECT * FROM std_k WHERE coalesce({TRIM('job_title')}, '') <> '' OR coalesce({TRIM('job_description')}, '') <> ''
-  ORDER BY row_key LIMIT {COMPARE_N}
 ), cmp AS (
   SELECT row_key AS row_id, coalesce(job_title, '') AS job_title,
     CASE WHEN length({desc}) > 200 THEN substr({desc}, 1, 200) || '...' ELSE {desc} END AS description_snippet,
@@ -627,11 +623,15 @@ def q_column_profile(spark, sf_dir):
                     "min_value", "max_value")
 
 
-@query("enrich_batches")
+@query("enrich_batches", with_raw(f"""
+SELECT row_key, {J("list_filter(w, lambda x, i: length(x) >= 3 AND contains(d, x) AND list_position(w, x) = i)")} AS skills_enriched,
+  false AS enrich_failed
+FROM (SELECT row_key, lower(coalesce(job_description, '')) AS d, list_transform(
+        regexp_split_to_array(lower(coalesce(job_title, '')), '\\s+'), lambda x: trim(x, '.,;:!?()[]{{}}"''')) AS w FROM std_k)"""))
 def q_enrich_batches(spark, sf_dir):
     s = std_k(spark, sf_dir).select("row_key", "job_title", "job_description")
     e = enrich(s, title_terms_in_description, batch_size=10)
-    return e.select("row_key", SK.skills_text("skills_enriched").alias("skills_enriched"))
+    return e.select("row_key", SK.skills_text("skills_enriched").alias("skills_enriched"), "enrich_failed")
 
 
 # =============================================================================
@@ -898,7 +898,7 @@ def batch_sources(sf_dir: str):
 
 def _batch_sql() -> str:
     std = f"""b_std AS (
-  SELECT source_id, {NB('job_title')} AS job_title, {NB('job_description')} AS job_description,
+  SELECT source_id, source_name, {NB('job_title')} AS job_title, {NB('job_description')} AS job_description,
     {NB('company_name')} AS company_name, {NB('location')} AS location, posted_date,
     {NB('job_url')} AS job_url, coalesce({CLEAN('skills')}, []) AS skills_normalized, salary_info, ingested_at,
     CAST(to_json(skills) AS VARCHAR) AS skills_raw
@@ -911,9 +911,9 @@ def _batch_sql() -> str:
 ), b_dedup AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY source_id, dedup_key ORDER BY ingested_at DESC NULLS LAST,
-      job_url ASC NULLS LAST, job_description ASC NULLS LAST, skills_raw ASC NULLS LAST,
-      salary_info ASC NULLS LAST, job_title ASC NULLS LAST, company_name ASC NULLS LAST,
-      location ASC NULLS LAST) AS rn
+      job_url ASC NULLS LAST, md5(concat_ws(chr(31), coalesce(source_name, chr(1)), coalesce(job_title, chr(1)),
+        coalesce(job_description, chr(1)), coalesce(company_name, chr(1)), coalesce(location, chr(1)),
+        coalesce(skills_raw, chr(1)), coalesce(salary_info, chr(1)))) ASC) AS rn
     FROM b_keyed) WHERE rn = 1
 ), b_long AS (
   SELECT source_id, {TRIM('skill')} AS skill FROM (SELECT source_id, unnest(skills_normalized) AS skill FROM b_dedup)

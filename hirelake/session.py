@@ -43,7 +43,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
-            if not sc.master.startswith("local"):
+            if sc.master != "local" and not sc.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder: intermediates written "
                                    "to a machine-local folder are lost with the executor that wrote them")
             root = tempfile.mkdtemp(prefix="hirelake-ckpt-")

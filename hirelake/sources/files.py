@@ -35,6 +35,17 @@ def _csv_reader(spark: SparkSession, header: bool):
             .option("inferSchema", False).option("mode", "PERMISSIVE"))
 
 
+def _same_headers(spark: SparkSession, path: str) -> None:
+    """Several files are read by position, so they must share one header."""
+    lines = (spark.read.option("recursiveFileLookup", True).text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+             if not path.endswith(".csv") else None)
+    if lines is None:
+        return
+    starts = lines.where("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("header"))
+    if starts.select("header").distinct().limit(2).count() > 1:
+        raise ValueError(f"the CSV files under {path} have different headers: read them one at a time")
+
+
 def read_csv_source(spark: SparkSession, path: str, na_values=CSV_NA_VALUES,
                     min_partitions: int | None = None) -> DataFrame:
     """All columns as text, quoted multi-line fields allowed, the usual
@@ -45,6 +56,7 @@ def read_csv_source(spark: SparkSession, path: str, na_values=CSV_NA_VALUES,
     robin, no key) so the mapping work runs in parallel.
     """
     first = _csv_reader(spark, False).csv(path).first()
+    _same_headers(spark, path)
     df = _csv_reader(spark, True).csv(path)
     if first is not None:
         df = df.toDF(*pandas_style_headers(list(first)))
@@ -72,7 +84,9 @@ def pick_input_file(spark: SparkSession, directory: str, how: str = "largest") -
     order = [F.col("length").desc(), F.col("path")] if how == "largest" else [F.col("path")]
     try:
         row = list_csv_files(spark, directory).orderBy(*order).select("path").first()
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         row = None
     if row is None:
         raise FileNotFoundError(f"no CSV found under {directory}")

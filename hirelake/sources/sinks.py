@@ -11,6 +11,9 @@ from hirelake.schema import conform
 
 log = logging.getLogger(__name__)
 
+#: Error conditions that mean there is nothing to read; all others are raised.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 def write_lake(df: DataFrame, base: str, dataset: str) -> str:
     """Replace ``<base>/raw/<dataset>`` with the canonical rows as Parquet."""
@@ -32,6 +35,8 @@ def load_raw_table(spark: SparkSession, base: str, dataset: str, table: str,
     try:
         df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(path)
     except AnalysisException as e:
+        if e.getCondition() not in ABSENT:
+            raise
         log.warning("no Parquet files under %s (%s); %s left as is", path, e.getMessage()[:80], table)
         return False
     if table_root:

@@ -23,7 +23,7 @@ def test_iso_dates(spark, value, expected):
 
 @pytest.mark.parametrize("value,expected", [(0, 1), (101, 100), ("abc", 15), (None, 15), ("7", 7)])
 def test_coerce(value, expected):
-    assert explore.coerce_int(value, 15, 1, 100) == expected
+    assert canned.Number("limit", 15, 1, 100).read(value) == expected
 
 
 def test_canned_registry(spark):
@@ -106,8 +106,62 @@ def test_enrich_failures(spark):
         if rows[0][0] == "20":
             return [["x"]]
         return [[f" {t} ", None, ""] for t, _ in rows]
-    out = {r.job_title: r.skills_enriched for r in enrich(df, fn, batch_size=10).collect()}
+    rows = enrich(df, fn, batch_size=10).collect()
+    out = {r.job_title: r.skills_enriched for r in rows}
     assert out["0"] == ["0"] and out["15"] == [] and out["21"] == [] and out["9"] == ["9"]
+    assert {r.job_title for r in rows if r.enrich_failed} == {str(i) for i in range(10, 25)}
+
+
+def test_enrich_passes_other_columns_exactly_and_drops_falsy_items(spark):
+    df = spark.createDataFrame([(9007199254740993, "a", None), (None, "b", "d")], "big long, job_title string, job_description string")
+    rows = enrich(df.coalesce(1), lambda rows: [[0, False, "", None, " x ", 7] for _ in rows]).collect()
+    assert [r.big for r in rows] == [9007199254740993, None]
+    assert rows[0].skills_enriched == ["x", "7"] and not rows[0].enrich_failed
+
+
+def test_enrich_groups_run_across_arrow_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(25).selectExpr("cast(id AS string) AS job_title", "'d' AS job_description").coalesce(1)
+        sizes = [r.skills_enriched[0] for r in enrich(df, lambda rows: [[str(len(rows))] for _ in rows], 10).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sizes == ["10"] * 20 + ["5"] * 5
+
+
+def test_browse_honours_any_limit(spark):
+    df = spark.range(6000).selectExpr("cast(id AS string) AS job_title", "'c' AS company_name", "'l' AS location", "DATE'2024-01-01' AS posted_date",
+                                      "'s' AS source_id", "'u' AS job_url", "'d' AS job_description")
+    assert explore.browse_jobs(df, 10).count() == 10 and explore.browse_jobs(df, 5000).count() == 5000
+
+
+def test_dedup_winner_does_not_depend_on_input_order(spark):
+    from hirelake.operators import silver as S
+    rows = [dict(job_title="t", posted_date=dt.date(2024, 1, 5), source_name=n) for n in ("A", "B", "C")]
+    winners = {S.deduplicate(S.standardize(canon_frame(spark, rs))).first().source_name for rs in (rows, rows[::-1], rows[1:] + rows[:1])}
+    assert len(winners) == 1
+
+
+@pytest.mark.parametrize("value", ["04/18/2024 10:30 AM", "2024-04-18 10:30:00 UTC", "18 April 2024", "Apr 18 2024", "2024-4-18"])
+def test_general_dates(spark, value):
+    from hirelake.functions.dates import parse_date_general
+    assert one(spark, parse_date_general, value) == dt.date(2024, 4, 18)
+
+
+@pytest.mark.parametrize("value", ["1713397508000.0", "1.713397508e+12", "1713397508000"])
+def test_epoch_text(spark, value):
+    from hirelake.functions.dates import parse_date_general
+    assert one(spark, lambda c: parse_date_general(c, "ms"), value) == dt.date(2024, 4, 17)
+    assert one(spark, parse_date_general, "1713397508000.0") is None
+
+
+def test_health_reports_a_table_without_the_column(spark):
+    spark.range(3).createOrReplaceTempView("raw_odd")
+    h = Q.raw_table_health(spark, ["raw_odd", "raw_none"])
+    errors = {r.table_name: r.error for r in h.collect()}
+    spark.catalog.dropTempView("raw_odd")
+    assert errors["raw_odd"].startswith("UNRESOLVED_COLUMN") and errors["raw_none"] == "not_found"
+    assert {(r.table_name, r.failure) for r in Q.quality_gate(h, "2024-01-01").collect()} == {("raw_odd", "error"), ("raw_none", "missing")}
 
 
 def test_sinks_roundtrip(spark, tmpdir_path):
@@ -193,6 +247,8 @@ def test_de_second_salary_header_overwrites(spark):
 
 @pytest.mark.parametrize("value,expected", [(89000.5, "89000.5"), (144975.0, "144975.0"),
                                             (15000000.0, "15000000.0"), (12345678.5, "12345678.5"),
+                                            (0.0001, "0.0001"), (0.00012345, "0.00012345"), (1e30, "1e+30"),
+                                            (1.5e-7, "1.5e-07"), (float("nan"), "nan"), (-2.5e17, "-2.5e+17"),
                                             (None, None)])
 def test_python_float_text(spark, value, expected):
     from hirelake.operators.mapping import python_float_text
