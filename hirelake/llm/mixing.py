@@ -83,14 +83,15 @@ def replay(post: np.ndarray, pulls: list[np.ndarray], step: float, ridge: float,
 
 
 def fit_rates(members: DataFrame, targets: np.ndarray, scale: float = 1.0, ridge: float = 1e-3, low: float = 0.0, high: float = 1e9,
-              steps: int = 30, prefix: str = "") -> tuple[list[np.ndarray], float, np.ndarray]:
+              steps: int = 20, tol: float = 1e-4, prefix: str = "") -> tuple[list[np.ndarray], float, np.ndarray]:
     """(pulls, step, reached shares): minimise sum_k ((total_k - target_k) / N)^2 / have_k / 2
     + ridge / 2 sum_d (tokens_d / N) (rate_d - 1)^2.
 
     ``members`` has ``tokens`` and ``posterior``; target_k is ``scale`` * N *
     targets_k with N all tokens, have_k the share of domain k as given.
     Gradients use the token-weighted metric, where the curvature is at most the
-    top eigenvalue of a matrix of domains x domains, so the step is safe.
+    top eigenvalue of a matrix of domains x domains, so the step is safe.  It
+    ends after ``steps``, or when no weighted total moves by ``tol`` any more.
     """
     k = len(targets)
     if k == 0:
@@ -122,11 +123,13 @@ def fit_rates(members: DataFrame, targets: np.ndarray, scale: float = 1.0, ridge
     root = np.sqrt(weight)
     step = 1 / (np.linalg.eigvalsh(gram / total * root[:, None] * root[None, :]).max() + ridge)
     pulls: list[np.ndarray] = []
+    last = None
     for _ in range(steps):
         _, now, _ = sums(lambda p: replay(p, pulls, step, ridge, low, high))
         gap = now / total - scale * targets
-        if len(pulls) and np.abs(gap * np.sqrt(weight)).max() < 1e-5:
+        if last is not None and np.abs((gap - last) * root).max() < tol:
             break
+        last = gap
         pulls.append(weight * gap)
     _, now, _ = sums(lambda p: replay(p, pulls, step, ridge, low, high))
     return pulls, step, now / total

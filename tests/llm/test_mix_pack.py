@@ -67,7 +67,7 @@ def test_projected_gradient_matches_dense_solution(spark):
     tokens = rng.integers(1, 200, 80)
     df = spark.createDataFrame([(int(n), p.tolist()) for n, p in zip(tokens, post)], "tokens bigint, posterior array<double>")
     target = np.array([0.6, 0.3, 0.1])
-    pulls, step, reached = mixing.fit_rates(df, target, steps=400, low=0.0, high=8.0)
+    pulls, step, reached = mixing.fit_rates(df, target, steps=400, tol=1e-9, low=0.0, high=8.0)
     assert reached == pytest.approx(target, abs=2e-3)
     # the same problem, solved densely
     n, have = tokens.sum(), tokens @ post
