@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hirelake.llm.blocks import arrow_of, batch_of, rows_of
+from hirelake.llm.blocks import arrow_of, batch_of, emitted, rows_of
 from hirelake.llm.common import text_bytes
 
 BITS = 18
@@ -117,33 +117,54 @@ class Featurizer:
 def sample_matrix(sample: DataFrame, chosen: np.ndarray) -> tuple[list, list, list, list, list]:
     """(ids, labels, columns, values, word counts) of the sample's rows, ordered by id.
 
-    Bounded by the sample: at most ``len(chosen)`` numbers a document.
+    Bounded by the sample: at most ``len(chosen)`` numbers a document, sent and held as packed arrays.
     """
-    ddl = "id bigint, label int, columns array<int>, values array<double>, words bigint"
+    ddl = "id bigint, label int, columns binary, values binary, words bigint"
     out = arrow_of(ddl)
 
     def run(batches):
         feats = Featurizer(chosen)
-        for i, text, label in rows_of(batches):
-            c, v, n = feats(text)
-            yield batch_of(out, [(i, label, c, v, n)])
+
+        def rows():
+            for i, text, label in rows_of(batches):
+                c, v, n = feats(text)
+                yield i, label, np.array(c, np.int32).tobytes(), np.array(v, float).tobytes(), n
+        return emitted(rows(), out)
 
     rows = sample.mapInArrow(run, ddl).collect()
     rows.sort(key=lambda r: (r.id is None, r.id, r.label, r.words))
-    return ([r.id for r in rows], [r.label for r in rows], [r["columns"] for r in rows], [r["values"] for r in rows], [r.words for r in rows])
+    return ([r.id for r in rows], [r.label for r in rows], [np.frombuffer(r["columns"], np.int32) for r in rows],
+            [np.frombuffer(r["values"], float) for r in rows], [r.words for r in rows])
 
 
 class Rows:
-    """A small sparse matrix with the two products that fitting needs."""
+    """A small sparse matrix with the two products that fitting needs: sums of runs, by row and by column."""
 
     def __init__(self, columns: list, values: list, width: int):
         self.n, self.width = len(columns), width
-        self.row = np.repeat(np.arange(self.n), [len(c) for c in columns])
-        self.col = np.array([x for c in columns for x in c], np.int64)
-        self.val = np.array([x for v in values for x in v], float)
+        row = np.repeat(np.arange(self.n), [len(c) for c in columns])
+        col = np.concatenate([np.asarray(c, np.int32) for c in columns] or [np.empty(0, np.int32)])
+        val = np.concatenate([np.asarray(v, float) for v in values] or [np.empty(0)])
+        order = np.argsort(col, kind="stable")
+        self.by_row = (*self._runs(row), col, val)
+        self.by_col = (*self._runs(col[order]), row[order], val[order])
+
+    @staticmethod
+    def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first position, key) of each run of equal keys."""
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        return first, keys[first]
+
+    @staticmethod
+    def _product(side: tuple, x: np.ndarray, size: int) -> np.ndarray:
+        first, keys, other, val = side
+        out = np.zeros(size)
+        if len(first):
+            out[keys] = np.add.reduceat(val * x[other], first)
+        return out
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights=self.val * w[self.col], minlength=self.n)
+        return self._product(self.by_row, w, self.n)
 
     def back(self, r: np.ndarray) -> np.ndarray:
-        return np.bincount(self.col, weights=self.val * r[self.row], minlength=self.width)
+        return self._product(self.by_col, r, self.width)

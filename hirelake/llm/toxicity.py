@@ -55,7 +55,7 @@ def fit_cumulative_link(x: Rows, grade: np.ndarray, n_grades: int, l2: float = 1
 def severity_grades(toxic: np.ndarray, columns: list, values: list, marks: np.ndarray, n_grades: int) -> np.ndarray:
     """Grade 0 for documents that are not toxic; the toxic ones by groups of
     about equal size by their number of marking words (ties stay together)."""
-    found = np.array([sum(np.exp(v - 1) for c, v in zip(cs, vs) if marks[c]) for cs, vs in zip(columns, values)])
+    found = np.array([np.round(np.exp(np.asarray(vs, float) - 1) @ marks[np.asarray(cs, int)]) for cs, vs in zip(columns, values)])
     if not (toxic == 1).any():
         return np.zeros(len(toxic), int)
     cuts = np.quantile(found[toxic == 1], np.arange(1, n_grades - 1) / (n_grades - 1))
