@@ -136,10 +136,10 @@ def _count(packed: DataFrame, depth: int, n_buckets: int, n_salts: int, words: b
 
     def rows(batches):
         for block, flags, lens, payload in rows_of(batches):
-            texts, w = unpacked(lens, payload), np.frombuffer(flags, np.uint8).astype(np.float64)
-            uniq, inv, d = bg.runs(bg.doc_grams(texts, depth))
-            counts = np.bincount(inv, weights=w[d], minlength=len(uniq)).astype(np.int64)
-            del inv, d
+            texts, w = unpacked(lens, payload), np.frombuffer(flags, np.uint8)
+            uniq, starts, d = bg.spans(bg.doc_grams(texts, depth))
+            counts = np.add.reduceat(w[d], starts, dtype=np.int64)
+            del starts, d
             for b, at in by_bucket(bucket_of(uniq, n_buckets)):
                 k = uniq[at]
                 yield b, block % n_salts, block, GRAMS, squeeze(np.diff(k, prepend=np.uint64(0))), squeeze(counts[at])
@@ -274,13 +274,13 @@ def ngram_scores(packed: DataFrame, depth: int, summary, build, words: bool = Fa
                 got[kind, bucket] = a
                 continue
             texts = unpacked(lens, a)
-            uniq, inv, d = bg.runs(bg.doc_grams(texts, depth))
+            uniq, starts, d = bg.spans(bg.doc_grams(texts, depth))
             logs = np.zeros(len(uniq))
             for b, at in by_bucket(bucket_of(uniq, n_buckets)):
                 logs[at] = spread(got.pop((GRAMS, b)), np.float32)
             cols = [ids, np.frombuffer(flags, np.uint8).astype(bool).tolist(), np.frombuffer(lens, np.int64).tolist(),
-                    np.bincount(d, weights=logs[inv], minlength=len(texts)).tolist()]
-            del inv, d, logs
+                    bg.sums_by_doc(logs, starts, d, len(texts)).tolist()]
+            del uniq, starts, d, logs
             if words:
                 vocab, numbers = word_index(texts)
                 c = np.zeros(len(vocab), np.int64)

@@ -29,26 +29,44 @@ def doc_grams(texts: list[bytes], depth: int) -> np.ndarray:
     codes = np.ndarray((n,), dtype=">u8", buffer=buf, strides=(1,)).astype(np.uint64)
     codes &= mask(depth + 1)
     codes <<= np.uint64(16)
-    codes |= np.repeat(np.arange(len(texts), dtype=np.uint64), lens)
-    keep = np.ones(n, bool)
+    codes |= np.repeat(np.arange(len(texts), dtype=np.uint16), lens)
+    # the boundary symbols behind each text are no symbols of it: they sort last and are cut off
     ends = np.cumsum(lens)
     for k in range(depth):
-        keep[ends - 1 - k] = False
-    codes = codes[keep]
+        codes[ends - 1 - k] = np.uint64(0xFFFFFFFFFFFFFFFF)
     codes.sort()
-    return codes
+    return codes[:n - depth * len(texts)]
 
 
-def runs(sorted_codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct grams, index of the gram of each entry, document of each entry)."""
-    grams = sorted_codes >> np.uint64(16)
-    docs = (sorted_codes & np.uint64(0xFFFF)).astype(np.int64)
+def spans(sorted_codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct grams, where each one's entries start, document of each entry).  Overwrites its input."""
+    docs = sorted_codes.astype(np.uint16)  # the low 16 bits
+    grams = sorted_codes
+    grams >>= np.uint64(16)
     if not len(grams):
         return grams, np.empty(0, np.int64), docs
     first = np.empty(len(grams), bool)
     first[0] = True
     np.not_equal(grams[1:], grams[:-1], out=first[1:])
-    return grams[first], np.cumsum(first) - 1, docs
+    at = np.flatnonzero(first)
+    return grams[at], at, docs
+
+
+def runs(sorted_codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct grams, index of the gram of each entry, document of each entry).  Overwrites its input."""
+    grams, at, docs = spans(sorted_codes)
+    return grams, np.repeat(np.arange(len(grams)), np.diff(np.append(at, len(docs)))), docs
+
+
+def sums_by_doc(values: np.ndarray, at: np.ndarray, docs: np.ndarray, n_docs: int, piece: int = 1 << 20) -> np.ndarray:
+    """Per document the sum of its entries' values, one value a distinct gram; a piece of the entries at a time."""
+    out = np.zeros(n_docs)
+    for lo in range(0, len(docs), piece):
+        hi = min(lo + piece, len(docs))
+        a, b = np.searchsorted(at, lo, side="right") - 1, np.searchsorted(at, hi)
+        size = np.diff(np.concatenate(([lo], at[a + 1:b], [hi])))
+        out += np.bincount(docs[lo:hi], weights=np.repeat(values[a:b], size), minlength=n_docs)
+    return out
 
 
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -36,8 +36,8 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
 
         def flush():
             for lang, texts in held.items():
-                uniq, inv, _ = bg.runs(bg.doc_grams(texts, depth))
-                yield batch_of(out, [(lang, squeeze(uniq), squeeze(np.bincount(inv, minlength=len(uniq)).astype(np.int64)))])
+                uniq, starts, d = bg.spans(bg.doc_grams(texts, depth))
+                yield batch_of(out, [(lang, squeeze(uniq), squeeze(np.diff(np.append(starts, len(d)))))])
             held.clear()
 
         for lang, text in rows_of(batches):
@@ -64,10 +64,10 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
 
 def code_lengths(texts: list[bytes], trees: dict[str, list[dict]], depth: int) -> np.ndarray:
     """Code length in bits of every text (rows) under every tree (columns)."""
-    uniq, inv, d = bg.runs(bg.doc_grams(texts, depth))
+    uniq, starts, d = bg.spans(bg.doc_grams(texts, depth))
     got = np.empty((len(texts), len(trees)))
     for j, tree in enumerate(trees.values()):
-        got[:, j] = np.bincount(d, weights=(-np.log2(10) * bg.ppm_log10(tree, uniq))[inv], minlength=len(texts))
+        got[:, j] = bg.sums_by_doc(-np.log2(10) * bg.ppm_log10(tree, uniq), starts, d, len(texts))
     return got
 
 
