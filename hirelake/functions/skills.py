@@ -231,13 +231,39 @@ _FENCE_OPEN = r"^```[^\n]*+(?:\n|$)"
 _FENCE_CLOSE = r"\n[ \t\r\f\x0b]*+```[ \t\r\f\x0b]*+$"
 
 
+def _reply_item(x) -> Column:
+    """Text of one item of a reply, NULL for the falsy ones: null, false, zero, '', {} and [].
+    True is 'True'; objects and lists are their JSON text."""
+    kind, text = F.schema_of_variant(x), x.cast("string")
+    number = kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE", "FLOAT")
+    return (F.when(kind == "VOID", F.lit(None))
+             .when(kind == "BOOLEAN", F.when(text == "true", "True"))
+             .when(number, F.when(text.try_cast("double") != 0, text))
+             .when(kind != "STRING", F.when(~text.isin("{}", "[]"), text))
+             .otherwise(text))
+
+
+def json_items(text) -> Column:
+    """``array<variant>`` of the items of a JSON array, NULL for anything else.
+
+    The JSON reader stops behind the first value, so the text is read inside an
+    array and inside an object: text after it is an error in one of the two.
+    """
+    t = trim_ws(text)
+    outer = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))).cast("array<variant>")
+    inside = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
+    ok = t.startswith("[") & inside.isNotNull() & (F.size(outer) == 1)
+    return F.when(ok, outer[0].cast("array<variant>"))
+
+
 def parse_response_skills(c) -> Column:
     """Model reply text -> skill list.
 
     The reply is trimmed; a leading markdown fence line is dropped, and so is
-    a closing fence line; the rest must be a JSON array, else []."""
+    a closing fence line; the rest must be a JSON array, else [].  Falsy items
+    are dropped, the others become text (see ``_reply_item``)."""
     s = trim_ws(c)
     fenced = s.startswith("```")
     body = F.when(fenced, F.regexp_replace(F.regexp_replace(s, _FENCE_CLOSE, ""), _FENCE_OPEN, "")) \
         .otherwise(s)
-    return F.coalesce(clean_list(json_scalar_array(body)), empty_list())
+    return F.coalesce(clean_list(F.transform(json_items(body), _reply_item)), empty_list())

@@ -22,7 +22,7 @@ from hirelake.operators import quality as Q
 from hirelake.operators import silver as S
 from hirelake.operators.enrich import enrich, title_terms_in_description
 from hirelake.plans import adapters as A
-from hirelake.plans.oracles import (CANON_OUT, CLEAN, D, DOMAIN, J, JACCARD, JSON_ARR, NB, NORM, TAX, TRIM, TS,
+from hirelake.plans.oracles import (CANON_OUT, CLEAN, D, DOMAIN, J, JACCARD, NB, NORM, TAX, TRIM, TS,
                                     with_raw)
 from hirelake.schema import JOBS_COLUMNS, conform
 
@@ -381,6 +381,23 @@ def q_recent_volume(spark, sf_dir):
     return v.select("source_id", d2s("posting_month").alias("posting_month"), "job_postings", "complete_postings")
 
 
+@query("canned_top_skills", with_raw("""
+SELECT skill, job_postings, source_count FROM skill_demand ORDER BY job_postings DESC, skill ASC LIMIT 100"""))
+def q_canned_top_skills(spark, sf_dir):
+    """Through the whitelist: the number comes as text and is bounded."""
+    from hirelake.operators.canned import run_canned
+    return run_canned("top_skills", {"skill_demand": skill_demand(spark, sf_dir)}, limit=" 5000 ")
+
+
+@query("canned_posting_volume", with_raw(f"""
+SELECT source_id, {D('posting_month')} AS posting_month, job_postings, complete_postings FROM posting_volume
+WHERE posting_month >= DATE_TRUNC('month', DATE '{A.AS_OF_EVENTS}') - INTERVAL 3 MONTH"""))
+def q_canned_posting_volume(spark, sf_dir):
+    from hirelake.operators.canned import run_canned
+    v = run_canned("posting_volume", {"posting_volume": G.posting_volume(dedup_k(spark, sf_dir)), "as_of": A.AS_OF_EVENTS}, months="3")
+    return v.select("source_id", d2s("posting_month").alias("posting_month"), "job_postings", "complete_postings")
+
+
 HEALTH_TABLES = (*A.RAW_TABLES, "raw_archive", "raw_legacy")
 HEALTH_SQL = f"""
 SELECT 'raw_orders' AS table_name, CAST(count(*) AS BIGINT) AS row_count, max(ingested_at) AS last_ingested,
@@ -516,7 +533,9 @@ def _responses(spark, sf_dir) -> DataFrame:
     bare = o.select(F.concat(F.col("row_key"), F.lit(":bare")).alias("reply_id"), F.col("skills").alias("reply"))
     fenced = o.select(F.concat(F.col("row_key"), F.lit(":fenced")).alias("reply_id"),
                       F.concat(F.lit("```json\n"), F.col("skills"), F.lit("\n```")).alias("reply"))
-    return conv.unionByName(bare).unionByName(fenced)
+    mixed = o.select(F.concat(F.col("row_key"), F.lit(":mixed")).alias("reply_id"),
+                     F.concat(F.lit('["Go", {"in":'), F.col("skills"), F.lit('}, 0, false, true, [], 7]')).alias("reply"))
+    return conv.unionByName(bare).unionByName(fenced).unionByName(mixed)
 
 
 def _fence_sql(x: str) -> str:
@@ -526,15 +545,24 @@ def _fence_sql(x: str) -> str:
     return f"CASE WHEN starts_with({t}, '```') THEN {body} ELSE {t} END"
 
 
+# What Python's truth test keeps of a parsed reply, as text.
+REPLY_ITEMS = """list_transform(items, lambda x: CASE json_type(x) WHEN 'NULL' THEN NULL
+  WHEN 'BOOLEAN' THEN CASE WHEN CAST(x AS VARCHAR) = 'true' THEN 'True' END WHEN 'VARCHAR' THEN x->>'$'
+  WHEN 'OBJECT' THEN nullif(CAST(x AS VARCHAR), '{}') WHEN 'ARRAY' THEN nullif(CAST(x AS VARCHAR), '[]')
+  ELSE CASE WHEN TRY_CAST(CAST(x AS VARCHAR) AS DOUBLE) <> 0 THEN CAST(x AS VARCHAR) END END)"""
+
+
 @query("parse_response_skills", with_raw(f"""
 WITH replies AS (
   SELECT 'c:' || CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS reply_id, text AS reply
   FROM conversations
   UNION ALL SELECT row_key || ':bare', skills FROM raw_orders_k
   UNION ALL SELECT row_key || ':fenced', '```json' || chr(10) || skills || chr(10) || '```' FROM raw_orders_k
+  UNION ALL SELECT row_key || ':mixed', '["Go", {{"in":' || skills || '}}, 0, false, true, [], 7]' FROM raw_orders_k
 )
-SELECT reply_id, {J(f"coalesce({CLEAN(JSON_ARR('body'))}, [])")} AS skills FROM (
-  SELECT reply_id, {_fence_sql('reply')} AS body FROM replies)"""))
+SELECT reply_id, coalesce({J(CLEAN(REPLY_ITEMS))}, '') AS skills FROM (
+  SELECT reply_id, CASE WHEN json_valid(body) AND json_type(body) = 'ARRAY' THEN json_extract(body, '$[*]') END AS items FROM (
+    SELECT reply_id, {TRIM(_fence_sql('reply'))} AS body FROM replies))"""))
 def q_parse_response_skills(spark, sf_dir):
     r = _responses(spark, sf_dir)
     return r.select("reply_id", SK.skills_text(SK.parse_response_skills("reply")).alias("skills"))
@@ -874,6 +902,88 @@ def q_curated_partition_scan(spark, sf_dir):
     return scan.select("row_key", "source_id", d2s("posted_date").alias("posted_date"), "content_quality_bucket")
 
 
+@query("explore_relation", with_raw(f"SELECT {CANON_OUT}, 'raw_pick' AS relation_mode FROM raw_orders_k"))
+def q_explore_relation(spark, sf_dir):
+    from hirelake.sources.catalog import jobs_relation
+    A.register_raw_views(spark, sf_dir)
+    rows, mode = jobs_relation(spark, table="raw_orders")
+    return canon_out(rows, extra=(F.lit(mode).alias("relation_mode"),))
+
+
+@query("parquet_source_scan", with_raw(f"SELECT {CANON_OUT} FROM raw_orders_k"))
+def q_parquet_source_scan(spark, sf_dir):
+    """Rows in nested folders, found again by the recursive scan."""
+    from hirelake.session import scratch_path
+    from hirelake.sources.files import read_parquet_source
+    folder = scratch_path(spark, "parquet_source")
+    rows = A.raw_tables(spark, sf_dir)["raw_orders"]
+    rows.where("posted_date IS NULL").write.parquet(f"{folder}/undated")
+    rows.where("posted_date IS NOT NULL").write.parquet(f"{folder}/dated/part")
+    return canon_out(read_parquet_source(spark, folder))
+
+
+@query("csv_export_roundtrip", with_raw("SELECT skill, job_postings, source_count FROM skill_demand"))
+def q_csv_export_roundtrip(spark, sf_dir):
+    from hirelake.session import scratch_path
+    from hirelake.sources.files import read_csv_source
+    from hirelake.sources.sinks import export_csv
+    back = read_csv_source(spark, export_csv(skill_demand(spark, sf_dir), scratch_path(spark, "export")))
+    return back.select("skill", F.col("job_postings").cast("long").alias("job_postings"),
+                       F.col("source_count").cast("long").alias("source_count"))
+
+
+@query("master_modes", with_raw("""
+SELECT 'view' AS master_mode, source_id, CAST(count(*) AS BIGINT) AS row_count FROM master_clean GROUP BY 2
+UNION ALL SELECT 'refreshed', source_id, CAST(count(*) AS BIGINT) FROM master_clean GROUP BY 2"""))
+def q_master_modes(spark, sf_dir):
+    """The master as a view, as an empty table (no rows to count) and as a refreshed one."""
+    import uuid
+    from hirelake.sources import sinks
+    rows = M.master_clean(raw_list(spark, sf_dir))
+    names = {m: f"master_{m}_{uuid.uuid4().hex[:12]}" for m in ("view", "empty", "refreshed")}
+    sinks.create_master_view(spark, rows, names["view"])
+    for m in ("empty", "refreshed"):
+        sinks.create_master_table(spark, rows, names[m])
+    sinks.refresh_master_table(spark, rows, names["refreshed"])
+    parts = [spark.table(n).groupBy("source_id").agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(m).alias("master_mode"), "source_id", "row_count") for m, n in names.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("map_de_variant", f"""
+SELECT 'kaggle_data_engineer_2023' AS source_id, {NB("o_orderpriority || ' data engineer'")} AS job_title,
+  'keys ' || CAST(o_custkey AS VARCHAR) AS job_description,
+  CASE WHEN o_orderkey % 5 <> 0 THEN 'company ' || CAST(o_custkey % 100 AS VARCHAR) END AS company_name,
+  {NB('o_orderstatus')} AS location, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS salary_info FROM orders""")
+def q_map_de_variant(spark, sf_dir):
+    """Headers without an exact match: placed by their normalized names."""
+    from hirelake.operators.mapping import map_de_2023
+    k = F.col("o_orderkey")
+    rows = A.read_table(spark, sf_dir, "orders").select(
+        F.concat("o_orderpriority", F.lit(" data engineer")).alias("Job Title"),
+        F.concat(F.lit(" keys "), F.col("o_custkey").cast("string")).alias("Description"),
+        F.col("o_orderstatus").alias("Location"),
+        F.when(k % 5 == 0, F.lit("  ")).otherwise(F.concat(F.lit("company "), (F.col("o_custkey") % 100).cast("string"))).alias("Company-Name"),
+        F.floor("o_totalprice").cast("long").cast("string").alias("Salary"))
+    return map_de_2023(rows, as_of=INGEST_AS_OF, ingested_at=_ingest_ts()).select(
+        "source_id", "job_title", "job_description", "company_name", "location", "salary_info")
+
+
+@query("date_parse", f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 6 THEN {D('CAST(o_orderdate AS DATE)')} END AS parsed FROM orders""")
+def q_date_parse(spark, sf_dir):
+    """Order dates written in layouts that sources use; every seventh is no date."""
+    from hirelake.functions.dates import parse_date_general
+    d, k = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
+    layouts = ["MM/dd/yyyy hh:mm a", "yyyy-MM-dd HH:mm:ss 'UTC'", "d MMMM yyyy", "MMM d yyyy", "yyyy-M-d"]
+    text = F.concat((F.unix_date(d).cast("long") * 86400000).cast("string"), F.lit(".0"))
+    for i, layout in enumerate(layouts):
+        text = F.when(k % 7 == i, F.date_format(d, layout)).otherwise(text)
+    text = F.when(k % 7 == 6, F.lit("soon")).otherwise(text)
+    rows = A.read_table(spark, sf_dir, "orders").select("o_orderkey", text.alias("posted"))
+    return rows.select("o_orderkey", d2s(parse_date_general("posted", "ms")).alias("parsed"))
+
+
 # =============================================================================
 # The whole batch chain: ingest four file-shaped sources -> lake -> raw tables
 # -> master view -> silver -> gold

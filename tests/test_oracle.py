@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB oracle on the smallest tables."""
 from conftest import SF_SMALL
 
+from hirelake.plans.queries import ORACLES, QUERIES
 from oracle_check import compare
 
 
@@ -13,4 +14,4 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert set(df.columns) == {"skill", "job_postings", "source_count"} and df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) - set(E.oracle_sql()) == {"enrich_batches"}
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(E.queries())

@@ -278,3 +278,14 @@ def test_read_parquet_source_recursive(spark, tmpdir_path):
     spark.range(3).write.parquet(os.path.join(tmpdir_path, "hf", "a"))
     spark.range(2).write.parquet(os.path.join(tmpdir_path, "hf", "b", "c"))
     assert read_parquet_source(spark, os.path.join(tmpdir_path, "hf")).count() == 5
+
+
+@pytest.mark.parametrize("reply,expected", [
+    ('["Python", {"name": "SQL"}]', ["Python", '{"name":"SQL"}']), ('["Python", ["a"]]', ["Python", '["a"]']),
+    ('[0, false, null, "", "SQL", 0.0, {}, [], true, 3]', ["SQL", "True", "3"]), ('["0", " Go "]', ["0", "Go"]),
+    ('["a"] tail', []), ('["a"],["b"]', []), ('["a"]],[', []), ('{"a": 1}', []), ("['a']", []), ("", []), (None, []),
+    ('```json\n["a"]\n```', ["a"]),
+])
+def test_reply_items(spark, reply, expected):
+    from hirelake.functions.skills import parse_response_skills
+    assert one(spark, parse_response_skills, reply) == expected
