@@ -52,14 +52,15 @@ def arrow_schema(df_schema) -> object:
     return to_arrow_schema(df_schema)
 
 
-def append_scores(df: DataFrame, text_col: str, new_fields: str, make_scorer, keep: list[str] | None = None) -> DataFrame:
+def append_scores(df: DataFrame, text_col: str, new_fields: str, make_scorer, keep: list[str] | None = None,
+                  block_bytes: int = 8 << 20) -> DataFrame:
     """Every row of ``df`` (its columns, or those in ``keep``) with new columns
     computed from its whole text.
 
     ``make_scorer()`` runs once per task and returns a function from a list of
     texts (bytes) to a dict of column lists.  Other columns pass through as
-    Arrow data, untouched.  Texts are handed over in blocks of at most 8 MB (a
-    longer text is a block of its own).
+    Arrow data, untouched.  Texts are handed over in blocks of at most
+    ``block_bytes`` (a longer text is a block of its own).
     """
     cols = list(df.columns) if keep is None else list(keep)
     raw = PRIVATE + "raw"
@@ -93,7 +94,7 @@ def append_scores(df: DataFrame, text_col: str, new_fields: str, make_scorer, ke
 
             for i in range(batch.num_rows):
                 t = column[i].as_py()
-                if texts and size + len(t) > 8 << 20:
+                if texts and size + len(t) > block_bytes:
                     yield flush(i)
                     start, texts, size = i, [], 0
                 texts.append(t)

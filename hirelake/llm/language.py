@@ -15,6 +15,9 @@ from hirelake.llm.common import append_scores, crc_mod, read, text_bytes
 
 DEPTH = 3
 UNDETERMINED = "und"
+SALTS = 64
+BLOCK_BYTES = 3 << 20  # of texts that are counted or scored at once
+
 
 
 def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -24,8 +27,11 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     sizes = (docs.where(usable & F.col(lang_col).isNotNull())
              .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.octet_length(text_bytes(text_col)).alias("size")))
     order = [F.xxhash64("id", "size"), F.col("id")]
-    # the first window keeps max_docs rows of a language in every task before rows meet
-    few = (sizes.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("k") <= max_docs))
+    # a salt splits a language; of each part a bounded number of rows moves on (at most 1000, so Spark cuts in every task first)
+    part = Window.partitionBy("lang", "salt").orderBy(*order)
+    few = (sizes.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS))).withColumn("k", F.row_number().over(part))
+           .where(F.col("k") <= min(max_docs, 1000)).drop("k", "salt"))
+    few = (few.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("k") <= max_docs))
     few = (few.withColumn("sum", F.sum("size").over(Window.partitionBy("lang").orderBy("k")))
            .where((F.col("sum") <= max_bytes) | (F.col("k") == 1)).select("id", "lang").distinct())
     ddl = "lang string, a binary, b binary"
@@ -43,7 +49,7 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
         for lang, text in rows_of(batches):
             held.setdefault(lang, []).append(text)
             size += len(text)
-            if size > 8 << 20 or len(held[lang]) >= bg.MAX_DOCS:
+            if size > BLOCK_BYTES or len(held[lang]) >= bg.MAX_DOCS:
                 yield from flush()
                 size = 0
         yield from flush()
@@ -100,7 +106,7 @@ def identify(docs: DataFrame, trees: dict[str, list[dict]], text_col: str = "tex
             return {"lang_pred": pred, "score": sure}
         return score
 
-    return append_scores(docs, text_col, "lang_pred string, score double", make, keep)
+    return append_scores(docs, text_col, "lang_pred string, score double", make, keep, BLOCK_BYTES)
 
 
 def op4_language_id(spark, sf_dir: str) -> DataFrame:
