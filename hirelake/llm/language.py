@@ -19,18 +19,18 @@ SALTS = 64
 BLOCK_BYTES = 3 << 20  # of texts that are counted or scored at once
 
 
-
 def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           depth: int = DEPTH, max_docs: int = 2000, max_bytes: int = 8 << 20) -> dict[str, list[dict]]:
     """A tree per language, from at most ``max_docs`` whole documents and
-    ``max_bytes`` bytes of each (those of least hashed id come first)."""
+    ``max_bytes`` bytes of each (those of least hashed id come first; of each
+    of ``SALTS`` parts of the ids at most four times its share)."""
     sizes = (docs.where(usable & F.col(lang_col).isNotNull())
              .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.octet_length(text_bytes(text_col)).alias("size")))
     order = [F.xxhash64("id", "size"), F.col("id")]
-    # a salt splits a language; of each part a bounded number of rows moves on (at most 1000, so Spark cuts in every task first)
+    # a salt splits a language, and few rows of a part move on: so few that Spark cuts in every task before rows meet
     part = Window.partitionBy("lang", "salt").orderBy(*order)
     few = (sizes.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS))).withColumn("k", F.row_number().over(part))
-           .where(F.col("k") <= min(max_docs, 1000)).drop("k", "salt"))
+           .where(F.col("k") <= min(-(-4 * max_docs // SALTS), 1000)).drop("k", "salt"))
     few = (few.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("k") <= max_docs))
     few = (few.withColumn("sum", F.sum("size").over(Window.partitionBy("lang").orderBy("k")))
            .where((F.col("sum") <= max_bytes) | (F.col("k") == 1)).select("id", "lang").distinct())
