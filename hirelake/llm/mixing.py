@@ -4,8 +4,8 @@ A softmax classifier trained on a labelled table gives every document
 posteriors over domains.  Nonnegative rates, one a document, are fitted by
 projected-gradient least squares so that the expected domain token totals meet
 the targets; a small term keeps rates near one.  The table of posteriors stays
-distributed: an iteration sums one vector of domain totals, and the driver
-keeps only those vectors, from which any task can replay a document's rate.
+distributed: an iteration sums vectors of domain totals, and the driver keeps
+one vector, from which any task can replay a document's rate.
 """
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from hirelake.llm.features import Featurizer, Rows, class_counts, labelled_sampl
 
 MOST_DOCS = 20_000
 MOST_FEATURES = 2048
+LENGTHS = (1.0, 0.5, 0.2, 0.05, 0.01, 0.001)
 
 
 def fit_softmax(x: Rows, label: np.ndarray, n: int, l2: float = 1e-3, steps: int = 200) -> np.ndarray:
@@ -75,64 +76,93 @@ def posteriors(docs: DataFrame, model: dict, text_col: str = "text", keep: list[
 
 
 def replay(post: np.ndarray, pulls: list[np.ndarray], step: float, ridge: float, low: float, high: float) -> np.ndarray:
-    """Rates after the given gradient steps, projected onto [low, high] each time."""
-    r = np.clip(np.ones(len(post)), low, high)
+    """Rates after the given gradient steps from one, projected onto [low, high] each time."""
+    r = np.ones(len(post))
     for pull in pulls:
         r = np.clip(r - step * (post @ pull + ridge * (r - 1)), low, high)
-    return r
+    return np.clip(r, low, high)
 
 
 def fit_rates(members: DataFrame, targets: np.ndarray, scale: float = 1.0, ridge: float = 1e-3, low: float = 0.0, high: float = 1e9,
-              steps: int = 20, tol: float = 1e-4, prefix: str = "") -> tuple[list[np.ndarray], float, np.ndarray]:
-    """(pulls, step, reached shares): minimise sum_k ((total_k - target_k) / N)^2 / have_k / 2
+              steps: int = 100, tol: float = 1e-7, prefix: str = "") -> tuple[list[np.ndarray], float, np.ndarray]:
+    """(pulls, step, reached totals over N): minimise sum_k ((total_k - target_k) / N)^2 / have_k / 2
     + ridge / 2 sum_d (tokens_d / N) (rate_d - 1)^2.
 
     ``members`` has ``tokens`` and ``posterior``; target_k is ``scale`` * N *
     targets_k with N all tokens, have_k the share of domain k as given.
-    Gradients use the token-weighted metric, where the curvature is at most the
-    top eigenvalue of a matrix of domains x domains, so the step is safe.  It
-    ends after ``steps``, or when no weighted total moves by ``tol`` any more.
+    Gradients use the token-weighted metric.  Where the projected gradient
+    vanishes, the rates are one projected step from one along a pull, and that
+    pull is the one which their own totals give.  So the steps are taken in
+    the pull (Newton's, with the step lengths of ``LENGTHS`` tried in one pass
+    over the members), until no rate has a projected gradient above ``tol``:
+    that is at most the largest change of a pull.  It raises when that takes
+    more than ``steps`` passes.  The one pull returned is for ``replay`` with
+    the returned step.
     """
     k = len(targets)
     if k == 0:
         return [], 0.0, np.zeros(0)
-    names = [f"m{i}" for i in range(k + k * k)]
-    ddl = "total double, " + ", ".join(f"{n} double" for n in names)
-    out = arrow_of(ddl)
+    size = 1 + k + k * k
+
+    def sums(rates, n_rates=1):
+        """Per set of rates: the sums of tokens * (least of the Lagrangian), of the totals and of the moving members' squares."""
+        ddl = "total double, " + ", ".join(f"m{i} double" for i in range(n_rates * size))
+        out = arrow_of(ddl)
 
-    def sums(rates):
         def run(batches):
-            acc = np.zeros(1 + k + k * k)
+            acc = np.zeros(1 + n_rates * size)
             for batch in batches:
                 n = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), float)
                 p = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(n), k)
-                w = n * rates(p)
                 acc[0] += n.sum()
-                acc[1:1 + k] += w @ p
-                acc[1 + k:] += ((p * n[:, None]).T @ p).ravel()
+                for i, (value, r, moves) in enumerate(rates(p)):
+                    at = acc[1 + i * size:1 + (i + 1) * size]
+                    at[0] += n @ value
+                    at[1:1 + k] += (n * r) @ p
+                    at[1 + k:] += ((p * (n * moves)[:, None]).T @ p).ravel()
             yield batch_of(out, [tuple(acc.tolist())])
 
         got = (members.select(F.col(prefix + "tokens"), F.col(prefix + "posterior")).mapInArrow(run, ddl)
-               .agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in ["total", *names]]).first())
-        return got[0], np.array(got[1:1 + k]), np.array(got[1 + k:]).reshape(k, k)
-
-    total, have, gram = sums(lambda p: np.ones(len(p)))
+               .agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in ["total", *[f"m{i}" for i in range(n_rates * size)]]]).first())
+        per = np.array(got[1:]).reshape(n_rates, size)
+        return got[0], per[:, 0], per[:, 1:1 + k], per[:, 1 + k:].reshape(n_rates, k, k)
+
+    def at_pulls(tried):
+        def rates(p):
+            for pull in tried:
+                cost = p @ pull
+                free = 1 - cost / ridge
+                r = np.clip(free, low, high)
+                yield r * cost + ridge / 2 * (r - 1) ** 2, r, (free > low) & (free < high)
+        total, value, now, square = sums(rates, len(tried))
+        return value / total, now / total, square / total
+
+    total, _, have, gram = sums(lambda p: [(np.zeros(len(p)), np.ones(len(p)), np.ones(len(p)))])
     if total == 0:
         return [], 0.0, np.zeros(k)
-    weight = 1 / np.maximum(have / total, 1e-4)
+    weight = 1 / np.maximum(have[0] / total, 1e-4)
     root = np.sqrt(weight)
-    step = 1 / (np.linalg.eigvalsh(gram / total * root[:, None] * root[None, :]).max() + ridge)
-    pulls: list[np.ndarray] = []
-    last = None
+    step = 1 / (np.linalg.eigvalsh(gram[0] / total * root[:, None] * root[None, :]).max() + ridge)
+    want = scale * targets
+    pull, best = np.zeros(k), None
+    tried = [pull]
     for _ in range(steps):
-        _, now, _ = sums(lambda p: replay(p, pulls, step, ridge, low, high))
-        gap = now / total - scale * targets
-        if last is not None and np.abs((gap - last) * root).max() < tol:
-            break
-        last = gap
-        pulls.append(weight * gap)
-    _, now, _ = sums(lambda p: replay(p, pulls, step, ridge, low, high))
-    return pulls, step, now / total
+        value, now, square = at_pulls(tried)
+        # the dual value: the greater the better, and greatest at the solution
+        dual = [v - x @ want - (x * x / weight).sum() / 2 for v, x in zip(value, tried)]
+        i = int(np.argmax(dual))
+        rest = [np.abs(weight * (t - want) - x).max() for t, x in zip(now, tried)]
+        j = int(np.argmin(rest))
+        if rest[j] <= tol:
+            return [tried[j] / (ridge * step)], step, now[j]
+        if best is None or dual[i] > best[0]:
+            best, pull, reach = (dual[i], now[i], square[i]), tried[i], 1.0
+        else:  # all lengths went too far
+            reach *= LENGTHS[-1] / 2
+        slope = best[1] - want - pull / weight
+        move = np.linalg.solve(np.diag(1 / weight) + best[2] / ridge, slope)
+        tried = [pull + reach * x * move for x in LENGTHS]
+    raise RuntimeError(f"rates did not settle in {steps} passes: projected gradient {rest[j]:.2g}, tolerance {tol:.2g}")
 
 
 def with_rates(members: DataFrame, pulls: list[np.ndarray], step: float, ridge: float, low: float, high: float, k: int,

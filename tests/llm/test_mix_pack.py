@@ -80,6 +80,20 @@ def test_projected_gradient_matches_dense_solution(spark):
     assert (got >= 0).all()
 
 
+@pytest.mark.parametrize("low, high", [(0.0, 1e9), (1.0, 8.0)])
+def test_default_fit_leaves_no_projected_gradient(spark, low, high):
+    rng = np.random.default_rng(2)
+    post, tokens = rng.dirichlet([3.0, 4.8, 2.1], 300), rng.integers(1, 200, 300)  # soft: totals creep
+    df = spark.createDataFrame([(int(n), p.tolist()) for n, p in zip(tokens, post)], "tokens bigint, posterior array<double>")
+    target = np.array([0.95, 0.04, 0.01])
+    pulls, step, reached = mixing.fit_rates(df, target, low=low, high=high)
+    r = mixing.replay(post, pulls, step, 1e-3, low, high)
+    n = tokens.sum()
+    assert reached == pytest.approx((tokens * r) @ post / n, abs=1e-9)
+    gradient = post @ ((reached - target) * n / (tokens @ post)) + 1e-3 * (r - 1)
+    assert np.abs(r - np.clip(r - gradient, low, high)).max() < 1e-6
+
+
 def test_mix_keeps_every_document_and_raises_wanted_domains(labelled):
     docs, labels = labelled
     rated, model, reached = mixing.mixture(docs, mixing.quality_domains(labels))
