@@ -9,6 +9,8 @@ one vector, from which any task can replay a document's rate.
 """
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -18,6 +20,7 @@ from hirelake.llm.features import Featurizer, Rows, class_counts, labelled_sampl
 
 MOST_DOCS = 20_000
 MOST_FEATURES = 2048
+OFF_TARGET = 0.01
 LENGTHS = (1.0, 0.5, 0.2, 0.05, 0.01, 0.001)
 
 
@@ -203,8 +206,18 @@ def target_vector(names: list[str], targets: dict[str, float]) -> np.ndarray:
     return t / t.sum() if t.sum() > 0 else np.full(len(names), 1 / max(1, len(names)))
 
 
+def report(names: list[str], targets: np.ndarray, reached: np.ndarray) -> None:
+    """Log the shares reached, as a warning when one is more than ``OFF_TARGET`` from its target."""
+    if not reached.sum() > 0:
+        return
+    shares = reached / reached.sum()
+    off = np.abs(shares - targets).max() > OFF_TARGET
+    logging.getLogger(__name__).log(logging.WARNING if off else logging.INFO, "shares reached (target): %s",
+                                    ", ".join(f"{n} {x:.4f} ({t:.4f})" for n, x, t in zip(names, shares, targets)))
+
+
 def mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, scale: float = 1.0, low: float = 0.0,
-            high: float = 16.0, keep: list[str] | None = None, prefix: str = "") -> tuple[DataFrame, dict, np.ndarray]:
+            high: float = 1e9, keep: list[str] | None = None, prefix: str = "") -> tuple[DataFrame, dict, np.ndarray]:
     """The rows with ``tokens``, ``posterior`` and ``rate``; the classifier; the reached shares.
 
     Null and empty texts have no tokens and get the rate that their prior
@@ -215,6 +228,7 @@ def mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TA
     members = written(posteriors(docs, model, keep=keep, prefix=prefix), "members")
     t = target_vector(model["names"], targets)
     pulls, step, reached = fit_rates(members, t, scale, RIDGE, low, high, prefix=prefix)
+    report(model["names"], t, reached)
     return with_rates(members, pulls, step, RIDGE, low, high, len(t), prefix), model, reached
 
 

@@ -109,6 +109,17 @@ def test_mix_keeps_every_document_and_raises_wanted_domains(labelled):
     assert mixing.mix(docs, mixing.quality_domains(labels).where("false")).count() == 244
 
 
+def test_rare_wanted_domain_reaches_its_share(spark, caplog):
+    docs = docs_of(spark, [("fine good words here " if i < 6 else "cheap junk spam there ") * 5 for i in range(300)])
+    labels = spark.createDataFrame([(i, int(i < 6), 0) for i in range(300)], "doc_id bigint, quality int, toxic int")
+    with caplog.at_level("INFO", logger="hirelake.llm.mixing"):
+        rated, model, reached = mixing.mixture(docs, mixing.quality_domains(labels))
+    assert model["names"] == ["clean", "low"]
+    assert reached / reached.sum() == pytest.approx([0.96, 0.04], abs=0.02)
+    assert max(r.rate for r in rated.collect()) > 16
+    assert "shares reached" in caplog.text
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
     texts = ["Hello wörld, it's  me", None, "", "a" * 30000, "tab\tnew\nline\u00a0nbsp\u3000wide", "word " * 9000, "<|endoftext|> x<|startoftext|>y",
