@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hirelake.llm import common, cuckoo, mixing, packing, simhash, toxicity
 
-#: Shares of expected tokens; every document stays at least once (rates are 1 to 4).
+#: Shares of expected tokens; every document stays at least once, and wanted ones are repeated as often as the shares take.
 MIX_TARGETS = {"clean": 0.96, "low": 0.04}
 SHINGLE, MAX_BITS = 3, 3
 

@@ -87,7 +87,7 @@ def replay(post: np.ndarray, pulls: list[np.ndarray], step: float, ridge: float,
 
 
 def fit_rates(members: DataFrame, targets: np.ndarray, scale: float = 1.0, ridge: float = 1e-3, low: float = 0.0, high: float = 1e9,
-              steps: int = 100, tol: float = 1e-7, prefix: str = "") -> tuple[list[np.ndarray], float, np.ndarray]:
+              steps: int = 100, tol: float = 1e-7, prefix: str = "", ratios: bool = False) -> tuple[list[np.ndarray], float, np.ndarray]:
     """(pulls, step, reached totals over N): minimise sum_k ((total_k - target_k) / N)^2 / have_k / 2
     + ridge / 2 sum_d (tokens_d / N) (rate_d - 1)^2.
 
@@ -101,6 +101,11 @@ def fit_rates(members: DataFrame, targets: np.ndarray, scale: float = 1.0, ridge
     that is at most the largest change of a pull.  It raises when that takes
     more than ``steps`` passes.  The one pull returned is for ``replay`` with
     the returned step.
+
+    With ``ratios`` target_k is targets_k of the total reached, whatever that
+    is, and domains without a target (0) count neither in it nor as a gap.  So
+    with rates of at least one the targets are met by as many repetitions as
+    they take.
     """
     k = len(targets)
     if k == 0:
@@ -146,23 +151,26 @@ def fit_rates(members: DataFrame, targets: np.ndarray, scale: float = 1.0, ridge
     weight = 1 / np.maximum(have[0] / total, 1e-4)
     root = np.sqrt(weight)
     step = 1 / (np.linalg.eigvalsh(gram[0] / total * root[:, None] * root[None, :]).max() + ridge)
-    want = scale * targets
+    want = np.zeros(k) if ratios else scale * targets
+    # a gap is a sum of totals: of each its own, less the target's part of all that have one
+    lean = np.diag(targets > 0) - np.outer(targets > 0, targets) if ratios else np.eye(k)
     pull, best = np.zeros(k), None
     tried = [pull]
     for _ in range(steps):
-        value, now, square = at_pulls(tried)
+        value, now, square = at_pulls([lean @ x for x in tried])
+        gaps = now @ lean - want
         # the dual value: the greater the better, and greatest at the solution
         dual = [v - x @ want - (x * x / weight).sum() / 2 for v, x in zip(value, tried)]
         i = int(np.argmax(dual))
-        rest = [np.abs(weight * (t - want) - x).max() for t, x in zip(now, tried)]
+        rest = [np.abs(weight * g - x).max() for g, x in zip(gaps, tried)]
         j = int(np.argmin(rest))
         if rest[j] <= tol:
-            return [tried[j] / (ridge * step)], step, now[j]
+            return [lean @ tried[j] / (ridge * step)], step, now[j]
         if best is None or dual[i] > best[0]:
-            best, pull, reach = (dual[i], now[i], square[i]), tried[i], 1.0
+            best, pull, reach = (dual[i], gaps[i], lean.T @ square[i] @ lean), tried[i], 1.0
         else:  # all lengths went too far
             reach *= LENGTHS[-1] / 2
-        slope = best[1] - want - pull / weight
+        slope = best[1] - pull / weight
         move = np.linalg.solve(np.diag(1 / weight) + best[2] / ridge, slope)
         tried = [pull + reach * x * move for x in LENGTHS]
     raise RuntimeError(f"rates did not settle in {steps} passes: projected gradient {rest[j]:.2g}, tolerance {tol:.2g}")
@@ -198,6 +206,8 @@ def quality_domains(labels: DataFrame) -> DataFrame:
 
 TARGETS = {"clean": 0.95, "low": 0.04, "toxic": 0.01}
 RIDGE = 1e-3
+#: Of rates that are at least one: so small that shares come within a thousandth of reachable targets.
+RATIO_RIDGE = 1e-5
 
 
 def target_vector(names: list[str], targets: dict[str, float]) -> np.ndarray:
@@ -211,14 +221,14 @@ def report(names: list[str], targets: np.ndarray, reached: np.ndarray) -> None:
     if not reached.sum() > 0:
         return
     shares = reached / reached.sum()
-    off = np.abs(shares - targets).max() > OFF_TARGET
+    off = not np.abs(shares - targets).max() <= OFF_TARGET
     logging.getLogger(__name__).log(logging.WARNING if off else logging.INFO, "shares reached (target): %s",
                                     ", ".join(f"{n} {x:.4f} ({t:.4f})" for n, x, t in zip(names, shares, targets)))
 
 
 def mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, scale: float = 1.0, low: float = 0.0,
-            high: float = 1e9, keep: list[str] | None = None, prefix: str = "") -> tuple[DataFrame, dict, np.ndarray]:
-    """The rows with ``tokens``, ``posterior`` and ``rate``; the classifier; the reached shares.
+            high: float = 1e9, keep: list[str] | None = None, prefix: str = "", ratios: bool = False) -> tuple[DataFrame, dict, np.ndarray]:
+    """The rows with ``tokens``, ``posterior`` and ``rate``; the classifier; the reached totals over all tokens.
 
     Null and empty texts have no tokens and get the rate that their prior
     posterior earns.  Repeated rows are members each.  Without labelled
@@ -227,17 +237,22 @@ def mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TA
     model = train_domains(docs, labelled)
     members = written(posteriors(docs, model, keep=keep, prefix=prefix), "members")
     t = target_vector(model["names"], targets)
-    pulls, step, reached = fit_rates(members, t, scale, RIDGE, low, high, prefix=prefix)
+    ridge = RATIO_RIDGE if ratios else RIDGE
+    pulls, step, reached = fit_rates(members, t, scale, ridge, low, high, prefix=prefix, ratios=ratios)
     report(model["names"], t, reached)
-    return with_rates(members, pulls, step, RIDGE, low, high, len(t), prefix), model, reached
+    return with_rates(members, pulls, step, ridge, low, high, len(t), prefix), model, reached
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, scale: float = 1.0, low: float = 1.0,
-        high: float = 4.0, seed: int = 7, id_col: str = "doc_id") -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, low: float = 1.0,
+        high: float = 1e9, seed: int = 7, id_col: str = "doc_id") -> DataFrame:
     """The documents, each as often as its rate says: the whole part, and once
     more with the chance of the rest (decided by a hash of the id).  Columns as
-    given.  With ``low`` at 1 or above no document is lost."""
-    rated, _, _ = mixture(docs, labelled, targets, scale, low, high, prefix=PRIVATE)
+    given.  With ``low`` at 1 or above no document is lost.
+
+    The targets are shares of what comes out, among the domains that have one:
+    wanted domains are repeated until the others have come down to theirs.
+    Domains without a target stay, and the shares reached are logged."""
+    rated, _, _ = mixture(docs, labelled, targets, low=low, high=high, prefix=PRIVATE, ratios=True)
     rate = F.col(PRIVATE + "rate")
     chance = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20))
     times = F.floor(rate + F.lit(1e-9)).cast("int") + (chance < rate - F.floor(rate + F.lit(1e-9))).cast("int")

@@ -109,6 +109,16 @@ def test_mix_keeps_every_document_and_raises_wanted_domains(labelled):
     assert mixing.mix(docs, mixing.quality_domains(labels).where("false")).count() == 244
 
 
+def test_mix_brings_an_over_represented_domain_down(spark):
+    docs = docs_of(spark, [("fine good words here " if i % 10 < 6 else "cheap junk spam there ") * 5 for i in range(1000)])
+    labels = spark.createDataFrame([(i, int(i % 10 < 6), 0) for i in range(1000)], "doc_id bigint, quality int, toxic int")
+    out = mixing.mix(docs, mixing.quality_domains(labels), corpus_pipeline.MIX_TARGETS)
+    counts = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
+    assert set(counts) == set(range(1000))
+    low = sum(n for i, n in counts.items() if i % 10 >= 6)
+    assert low / sum(counts.values()) == pytest.approx(0.04, abs=0.01)
+
+
 def test_rare_wanted_domain_reaches_its_share(spark, caplog):
     docs = docs_of(spark, [("fine good words here " if i < 6 else "cheap junk spam there ") * 5 for i in range(300)])
     labels = spark.createDataFrame([(i, int(i < 6), 0) for i in range(300)], "doc_id bigint, quality int, toxic int")
