@@ -10,9 +10,9 @@ links, so a group of thousands of near copies costs one row for each member.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from hirelake.llm.common import PRIVATE, append_scores, read, written
+from hirelake.llm.common import PRIVATE, append_scores, read, text_bytes, written
 from hirelake.llm.components import components
 
 TILE = 32768
@@ -120,13 +120,18 @@ def fingerprint_links(prints: DataFrame, radius: int, tile: int = TILE) -> DataF
     return pairs.repartition(wide, F.rand(SEED)).mapInArrow(compare, "a bigint, b bigint")
 
 
-def near_groups(prints: DataFrame, radius: int = 3, id_col: str = "doc_id") -> DataFrame:
-    """(fingerprint, component_id): least id reachable over links of fingerprints, ids by distinct fingerprint."""
-    least = prints.groupBy("fingerprint").agg(F.min(id_col).alias("least"))
+def rooted(prints: DataFrame, radius: int, least: Column) -> DataFrame:
+    """(fingerprint, ``least`` of its rows, root): one row per distinct fingerprint; a root names a group."""
+    least = prints.groupBy("fingerprint").agg(least.alias("least"))
     roots = written(components(written(fingerprint_links(prints, radius), "links")), "roots")
     linked = least.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
-    linked = written(linked, "linked")
+    return written(linked, "linked")
+
+
+def near_groups(prints: DataFrame, radius: int = 3, id_col: str = "doc_id") -> DataFrame:
+    """(fingerprint, component_id): least id reachable over links of fingerprints, ids by distinct fingerprint."""
+    linked = rooted(prints, radius, F.min(id_col))
     heads = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     return linked.join(heads, "root").select("fingerprint", "component_id")
 
@@ -143,12 +148,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
     return prints.join(groups, "fingerprint").select(id_col, "fingerprint", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id") -> DataFrame:
-    """The documents less all but one (the least id) of each group; of repeated
-    rows of that id one stays.  Columns as given."""
-    near = near_duplicates(docs, shingle, radius, id_col)
-    stay = (near.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(PRIVATE + "id")).distinct())
-    return one_row_each(docs, stay, [(id_col, PRIVATE + "id")])
+def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents less all but one of each group: the row with the least id
+    (null ids last), of several texts with that id the least digest, and of
+    repeated rows of both one.  Columns as given."""
+    digest = PRIVATE + "digest"
+    marked = docs.withColumn(digest, F.unhex(F.sha2(text_bytes(F.col(f"`{text_col}`")), 256)))
+    prints = written(fingerprints(marked, shingle, text_col, [id_col, digest]), "fingerprints")
+    head = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"), F.col(digest).alias("digest"))
+    heads = rooted(prints, radius, F.min(head)).groupBy("root").agg(F.min("least").alias("head"))
+    stay = heads.select(F.col("head.id").alias(PRIVATE + "id"), F.col("head.digest").alias(PRIVATE + "kept"))
+    return one_row_each(marked, stay, [(id_col, PRIVATE + "id"), (digest, PRIVATE + "kept")]).drop(digest)
 
 
 def one_row_each(docs: DataFrame, keys: DataFrame, on: list[tuple[str, str]]) -> DataFrame:

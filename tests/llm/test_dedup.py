@@ -146,6 +146,14 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs.where("false")).count() == 0
 
 
+def test_drop_near_duplicates_with_null_and_repeated_ids(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(200)) for x in "abcde")
+    docs = docs_of(spark, [(None, a), (None, b), (None, b), (None, c), (2, d), (5, d), (5, e), (7, e), (None, e)])
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(None, a), (None, b), (None, c), (2, d), (5, e)], key=str)
+
+
 def test_one_large_group_gives_a_forest_only():
     left = np.arange(2000, dtype=np.uint64) & np.uint64(7)
     a, b = simhash.tile_forest(left, None, 3)
