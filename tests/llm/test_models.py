@@ -142,6 +142,18 @@ def test_quality_keeps_good_and_drops_noise(spark):
     assert all(r.keep for r in kneser_ney.quality(docs, labels.where("false")).collect())
 
 
+def test_quality_thresholds_use_all_held_out_labels(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["town", "market", "people", "bought", "bread", "day"], 5 + i % 9)) for i in range(400)]
+    langs = ["fr" if i % 10 == 0 else "en" for i in range(400)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    rows = kneser_ney.quality(docs_of(spark, texts, langs), labels, max_trusted=10).collect()
+    for la in ("en", "fr"):
+        held = [r.perplexity for r in rows if r.lang == la and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+        low, high = {(r.low, r.high) for r in rows if r.lang == la}.pop()
+        assert low * 1.25 == pytest.approx(min(held)) and high / 1.25 == pytest.approx(max(held))
+
+
 def test_language(spark):
     words = {"en": "the and of people with that house water".split(), "de": "der und die nicht wasser haus über schön".split()}
     rng = np.random.default_rng(1)
