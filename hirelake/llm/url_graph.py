@@ -51,7 +51,8 @@ def matched(host: Column, path: Column, rules) -> tuple[Column, Column]:
 def host_links(pages: DataFrame) -> DataFrame:
     """(src, dst, weight): number of links from a page's host to the linked
     host.  A link without a host leads to the page's own host."""
-    hrefs = F.regexp_extract_all("html", F.lit(r"""(?i)<a\s[^>]{0,2000}?\bhref\s*=\s*["']?([^"'\s>]*)"""), F.lit(1))
+    # an anchor without href is passed over whole, so that the search is linear
+    hrefs = F.regexp_extract_all("html", F.lit(r"""(?i)<a\s(?:[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)|[^>]*)"""), F.lit(1))
     rows = pages.where("host != '' and html is not null").select(F.col("host").alias("src"), F.explode(hrefs).alias("href"))
     absolute = F.when(F.startswith("href", F.lit("//")), F.concat(F.lit("x:"), F.col("href"))).otherwise(F.col("href"))
     dst = host_of(absolute)
@@ -59,26 +60,37 @@ def host_links(pages: DataFrame) -> DataFrame:
             .where("dst != ''").groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight")))
 
 
-def walk(seeds: DataFrame, links: DataFrame, damping: float, steps: int) -> DataFrame:
+def walk(seeds: DataFrame, links: DataFrame, damping: float, steps: int | None = None, tol: float = 1e-6, most: int = 1000) -> DataFrame:
     """(host, mass) of personalised PageRank from ``seeds`` (host, seed; seeds sum to 1).
 
     ``links`` has (src, dst, share), shares of a source summing to 1.  Mass of
     hosts without links returns to the seeds.  Each step joins the ranks with
     the links on the source and sums by target (pre-aggregated), and is written
-    to the shared folder.
+    to the shared folder.  It ends when no host's mass changes by more than
+    ``tol`` of itself (so every host that is linked at any distance has been
+    reached), and raises if that takes over ``most`` steps; ``steps`` takes that
+    many instead.
     """
     ranks = seeds.select("host", F.col("seed").alias("mass"))
-    for _ in range(steps):
+    for i in range(most if steps is None else steps):
         moved = (ranks.join(links, ranks.host == links.src).select(F.col("dst").alias("host"), (F.col("mass") * F.col("share") * damping).alias("mass"))
                  .groupBy("host").agg(F.sum("mass").alias("mass")))
         moved = written(moved, "walk")
         kept = moved.agg(F.coalesce(F.sum("mass"), F.lit(0.0))).first()[0]
         back = seeds.select("host", (F.col("seed") * (1.0 - kept)).alias("mass"))
-        ranks = moved.unionByName(back).groupBy("host").agg(F.sum("mass").alias("mass"))
+        last, ranks = ranks, moved.unionByName(back).groupBy("host").agg(F.sum("mass").alias("mass"))
+        if steps is None:
+            both = (ranks.select("host", "mass", F.lit(0.0).alias("last")).unionByName(last.select("host", F.lit(0.0).alias("mass"), F.col("mass").alias("last")))
+                    .groupBy("host").agg(F.sum("mass").alias("mass"), F.sum("last").alias("last")))
+            if both.where(F.abs(F.col("mass") - F.col("last")) > F.greatest("mass", "last") * tol).isEmpty():
+                break
+    else:
+        if steps is None:
+            raise RuntimeError(f"the walk did not settle in {most} steps")
     return written(ranks, "ranks")
 
 
-def host_scores(pages: DataFrame, damping: float = 0.85, steps: int = 8) -> DataFrame:
+def host_scores(pages: DataFrame, damping: float = 0.85, steps: int | None = None) -> DataFrame:
     """(host, trust, distrust) of every host that has a page or is linked.
 
     ``pages`` has host, html and ``rule_verdict``.
@@ -102,7 +114,7 @@ def host_scores(pages: DataFrame, damping: float = 0.85, steps: int = 8) -> Data
     return got.select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
 
 
-def filter_urls(pages: DataFrame, rules=RULES, damping: float = 0.85, steps: int = 8, margin: float = 2.0) -> DataFrame:
+def filter_urls(pages: DataFrame, rules=RULES, damping: float = 0.85, steps: int | None = None, margin: float = 2.0) -> DataFrame:
     """The pages with ``host``, ``path``, ``rule``, ``verdict``, ``trust`` and ``distrust``.
 
     ``trust`` and ``distrust`` are the walks' masses in seed pages.  A page

@@ -200,6 +200,18 @@ def test_link_graph_matches_dense_walk(spark):
     assert [r.verdict for r in got] == ["allow", "block", "allow", "block", "allow"]
 
 
+def test_walk_settles_and_reaches_far_hosts(spark):
+    rules = (("allow", "h0.net", "/"), ("block", "h13.net", "/"))
+    edges = [(0, 0)] + [(i, i + 1) for i in range(1, 13)]
+    far = "y" * 3000
+    html = {a: f'<a title="{far}" href="http://h{b}.net/">l</a><a name="x"><a>' for a, b in edges}
+    pages = spark.createDataFrame([(i, f"http://h{i}.net/", html.get(i)) for i in range(14)], "page_id bigint, url string, html string")
+    got = sorted(url_graph.filter_urls(pages, rules).collect(), key=lambda r: r.page_id)
+    want = dense_walk(14, [(b, a) for a, b in edges], np.eye(14)[13], 0.85, 400)
+    assert [r.distrust for r in got] == pytest.approx(want, rel=1e-4)
+    assert [r.verdict for r in got] == ["allow"] + ["block"] * 13
+
+
 def test_url_graph_uses_no_python(spark):
     plan = url_graph.op2_url_graph(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
