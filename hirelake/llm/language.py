@@ -23,10 +23,13 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
           depth: int = DEPTH, max_docs: int = 2000, max_bytes: int = 8 << 20) -> dict[str, list[dict]]:
     """A tree per language, from at most ``max_docs`` whole documents and
     ``max_bytes`` bytes of each (those of least hashed id come first; of each
-    of ``SALTS`` parts of the ids at most four times its share)."""
+    of ``SALTS`` parts of the ids at most four times its share).  Documents of
+    over four times ``max_bytes / max_docs`` come last, the shortest first, so
+    that none of them ends a sample that others would fill; a language's
+    shortest document is taken whatever its size."""
     sizes = (docs.where(usable & F.col(lang_col).isNotNull())
              .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.octet_length(text_bytes(text_col)).alias("size")))
-    order = [F.xxhash64("id", "size"), F.col("id")]
+    order = [F.greatest("size", F.lit(4 * max_bytes // max_docs)), F.xxhash64("id", "size"), F.col("id")]
     # a salt splits a language, and few rows of a part move on: so few that Spark cuts in every task before rows meet
     part = Window.partitionBy("lang", "salt").orderBy(*order)
     few = (sizes.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS))).withColumn("k", F.row_number().over(part))

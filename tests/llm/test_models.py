@@ -170,6 +170,17 @@ def test_language(spark):
     assert language.train(docs.where("false"), F.lit(True)) == {}
 
 
+def test_over_large_documents_do_not_end_the_sample(spark):
+    small = [f"the water and house {i}" for i in range(40)]
+    docs = docs_of(spark, small + ["x" * 3000] * 20 + ["y" * 5000], ["en"] * 60 + ["de"])
+    sizes = {"max_docs": 50, "max_bytes": 2000}
+    trees = language.train(docs, F.lit(True), **sizes)
+    alone = language.train(docs.where("doc_id < 40"), F.lit(True), **sizes)
+    for got, want in zip(trees["en"], alone["en"]):
+        assert set(got) == set(want) and all(np.array_equal(got[x], want[x]) for x in want)
+    assert "de" in trees
+
+
 def test_language_code_lengths_match_brute_force():
     trained = [b"the cat sat on the mat", b"a cat"]
     uniq, inv, _ = bg.runs(bg.doc_grams(trained, 3))
