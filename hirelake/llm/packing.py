@@ -13,7 +13,8 @@ from hirelake.llm.common import arrow_schema, read, text_bytes, written
 
 LENGTH = 4096
 END_ID = 2
-CACHE = 1_000_000
+#: Bytes of words and ids that a task remembers (with about ENTRY more for each entry), and of one batch that it returns.
+CACHE_BYTES, ENTRY, EMIT_BYTES = 48 << 20, 160, 4 << 20
 TAIL = ".,;:!?*%$&#)"
 
 
@@ -47,6 +48,7 @@ class WordTokenizer:
         self.tok = Tokenizer.from_file(path)
         self.letters = byte_letters()
         self.cache: dict[bytes, bytes] = {}
+        self.held = 0
         self.end = self._packed([end_id])
 
     @staticmethod
@@ -68,25 +70,34 @@ class WordTokenizer:
         got = self.cache.get(key)
         if got is None:
             seen = low if len(key) == len(low) else key.decode("latin-1").translate(self.letters)
-            got = self.cache[key] = self._packed([t.id for t in self.tok.model.tokenize(seen)])
+            got = self._remember(key, self._packed([t.id for t in self.tok.model.tokenize(seen)]))
         if len(core) == len(text):
             return got
         tail = text[len(core):].encode()
-        if tail not in self.cache:
-            self.cache[tail] = self._whole(tail.decode())
-        return got + self.cache[tail]
+        rest = self.cache.get(tail)
+        return got + (self._remember(tail, self._whole(tail.decode())) if rest is None else rest)
+
+    def _remember(self, key: bytes, got: bytes) -> bytes:
+        self.cache[key] = got
+        self.held += len(key) + len(got) + ENTRY
+        return got
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, end id included."""
-        out, cache = [], self.cache
+        """Little-endian unsigned 32-bit ids of each text, end id included; equal texts are tokenized once."""
+        done: dict[bytes, bytes] = {}
         for t in texts:
-            parts = t.split()
-            if len(cache) > CACHE:
-                cache.clear()
-            for w in set(parts).difference(cache):
-                cache[w] = self._learn(w)
-            out.append(b"".join([*map(cache.__getitem__, parts), self.end]))
-        return out
+            if t not in done:
+                done[t] = self._ids(t)
+        return [done[t] for t in texts]
+
+    def _ids(self, text: bytes) -> bytes:
+        parts, cache = text.split(), self.cache
+        if self.held > CACHE_BYTES:
+            cache.clear()
+            self.held = 0
+        for w in set(parts).difference(cache):
+            self._remember(w, self._learn(w))
+        return b"".join([*map(cache.__getitem__, parts), self.end])
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -152,22 +163,29 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, en
 
         import pyarrow as pa
 
+        def pieces(batch, src, rows):
+            return pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(src, pa.int64())), *(pa.array(c, f.type) for c, f in zip(rows, list(out)[1:]))], schema=out)
+
         for batch in batches:
-            src, rows = [], [[] for _ in out.names[1:]]
+            src, rows, held = [], [[] for _ in out.names[1:]], 0
             for i in range(batch.num_rows):
-                ids = batch.column(3)[i].as_py()
+                ids = memoryview(batch.column(3)[i].as_buffer())
                 g, n, start = shared.value[batch.column(1)[i].as_py()] + batch.column(2)[i].as_py(), len(ids) // 4, 0
                 while start < n:
                     seq, off = divmod(g + start, length)
                     size = min(length - off, n - start)
                     piece = ids[4 * start:4 * (start + size)]
-                    row = [start, size, *([piece] if with_ids else []), crc32(piece), n, seq, off]
+                    row = [start, size, *([bytes(piece)] if with_ids else []), crc32(piece), n, seq, off]
                     src.append(i)
                     for c, v in zip(rows, row):
                         c.append(v)
                     start += size
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(src, pa.int64())), *(pa.array(c, f.type) for c, f in zip(rows, list(out)[1:]))], schema=out)
+                    held += 64 + with_ids * len(piece)
+                    if held > EMIT_BYTES:
+                        yield pieces(batch, src, rows)
+                        src, rows, held = [], [[] for _ in out.names[1:]], 0
+            yield pieces(batch, src, rows)
 
     return tokens.select("id", "part", "before", "ids").mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
