@@ -5,8 +5,9 @@ polynomials over bytes give every word a hash, and prefix polynomials over word
 hashes give every n-gram a fingerprint in one step.  A block sends each distinct
 fingerprint once, with its count and a pointer to an occurrence; ranges of
 fingerprints add up the counts and send the pointers of frequent ones back.
-Only there is text read again: the phrase under each pointer is materialised and
-counted by its text, so two phrases with one fingerprint never add up.
+Only there is text read again: the blocks write out the phrases under these
+pointers, and the ranges add up counts by text, so two phrases with one
+fingerprint never count as one.
 
 Words and pairs are counted first.  A longer phrase cannot be more frequent than
 a pair inside it, so three to five words are fingerprinted where all their pairs
@@ -26,6 +27,7 @@ SEPARATORS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 LONGEST = 5
 BLOCK_BYTES = 4 << 20
 RANGE_WORDS = 1 << 21
+STRETCH = 1 << 18
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 KIND = np.zeros(256, np.uint8)
 KIND[list(SEPARATORS)], KIND[list(BLANKS)] = 2, 1
@@ -127,8 +129,8 @@ class Block:
         from zlib import crc32
 
         self.langs, self.cut = langs, np.uint64(64 - bits)
-        self.text = zstandard.ZstdDecompressor().decompress(payload)
-        raw = np.frombuffer(self.text, np.uint8)
+        self.text = zstandard.ZstdDecompressor().decompress(payload) + b" "
+        self.raw = raw = np.frombuffer(self.text, np.uint8)
         kind = KIND[raw]
         edges = np.diff((kind == 0).astype(np.int8), prepend=0, append=0)
         self.starts, self.ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
@@ -136,15 +138,24 @@ class Block:
         begin = np.cumsum(np.frombuffer(lens, np.int64) + 1) - np.frombuffer(lens, np.int64) - 1
         self.segment = np.searchsorted(begin, self.starts, "right") - 1
         self.owned = self.starts < (begin + np.frombuffer(own, np.int64))[self.segment]
-        sums = prefix_sums(raw.astype(np.uint64) + np.uint64(1), self.byte_powers)
-        down = self.byte_powers.upto(len(raw))[1]
-        words = mixed((sums[self.ends] - sums[self.starts]) * down[self.starts]) >> self.cut
+        words = self._word_hashes(raw) >> self.cut
         self.ids = self._word_ids(raw, words)
         self.names = list(dict.fromkeys(langs))
         self.lang = np.array([self.names.index(x) for x in langs], np.int64)[self.segment]
         self.seed = mixed(np.array([crc32(x.encode()) + (len(x) << 32) for x in self.names], np.uint64) + np.uint64(1))[self.lang]
         self.sums = prefix_sums(words, self.word_powers)
 
+    def _word_hashes(self, raw: np.ndarray) -> np.ndarray:
+        """Hashes of all words, by prefix polynomials over stretches of about ``STRETCH`` bytes."""
+        out = np.empty(len(self.starts), np.uint64)
+        cuts = np.unique(np.append(np.searchsorted(self.starts, np.arange(0, len(raw), STRETCH)), len(self.starts)))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            lo, hi = self.starts[a], self.ends[b - 1]
+            sums = prefix_sums(raw[lo:hi].astype(np.uint64) + np.uint64(1), self.byte_powers)
+            down = self.byte_powers.upto(hi - lo)[1]
+            out[a:b] = (sums[self.ends[a:b] - lo] - sums[self.starts[a:b] - lo]) * down[self.starts[a:b] - lo]
+        return mixed(out)
+
     def _word_ids(self, raw: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Equal for equal words only: each word is compared with the first one of its hash."""
         _, first, ids = np.unique(hashes, return_index=True, return_inverse=True)
@@ -191,8 +202,15 @@ class Block:
         first = np.flatnonzero(new)
         return p[first], np.add.reduceat(self.owned[at], first, dtype=np.int64), at[first]
 
-    def phrase(self, at: int, n: int) -> bytes:
-        return b" ".join([self.text[a:b] for a, b in zip(self.starts[at:at + n].tolist(), self.ends[at:at + n].tolist())])
+    def phrases(self, n: int, at: np.ndarray) -> bytes:
+        """The phrases of ``n`` words that start at the given words: words joined by spaces, a line break after each phrase."""
+        words = (at[:, None] + np.arange(n)).ravel()
+        size = self.ends[words] - self.starts[words] + 1
+        stop = np.cumsum(size)
+        out = self.raw[np.arange(stop[-1]) + np.repeat(self.starts[words] - (stop - size), size)]
+        out[stop - 1] = 0x20
+        out[stop[n - 1::n] - 1] = 0x0A
+        return out.tobytes()
 
 
 def _rows(block: int, n: int, entries, ranges: int, bits: int):
@@ -205,7 +223,8 @@ def _rows(block: int, n: int, entries, ranges: int, bits: int):
 
 
 ENTRY = "part int, n int, block bigint, prints binary, counts binary, at binary"
-REPLY = "block bigint, n int, prints binary, counts binary, at binary"
+REPLY = "block bigint, part int, n int, prints binary, counts binary, at binary"
+TEXTS = "lang string, part int, n int, texts binary, counts binary"
 FOUND = "lang string, n int, phrase binary, f bigint"
 
 
@@ -226,7 +245,7 @@ def frequent(entries: DataFrame, least: int) -> DataFrame:
         for k, (a, b) in enumerate(zip([0, *ends], ends)):
             if a < b:
                 x = keep[a:b]
-                yield int(blocks[k]), key[1], squeeze(np.diff(prints[x], prepend=np.uint64(0))), squeeze(counts[x]), squeeze(at[x])
+                yield int(blocks[k]), *key, squeeze(np.diff(prints[x], prepend=np.uint64(0))), squeeze(counts[x]), squeeze(at[x])
 
     def merged(rows):
         key, held = None, []
@@ -245,28 +264,49 @@ def frequent(entries: DataFrame, least: int) -> DataFrame:
 def _with_replies(blocks: DataFrame, replies: DataFrame, fn, ddl: str) -> DataFrame:
     """``fn(block number, Block arguments, {n: replies})`` for every block."""
     blank = lambda t: F.lit(None).cast(t)
-    asked = replies.select("block", F.lit(0).alias("role"), "n", "prints", "counts", "at", blank("array<string>").alias("langs"))
-    whole = blocks.select("block", F.lit(1).alias("role"), F.lit(0).alias("n"), F.col("lens").alias("prints"), F.col("own").alias("counts"),
+    asked = replies.select("block", F.lit(0).alias("role"), "part", "n", "prints", "counts", "at", blank("array<string>").alias("langs"))
+    whole = blocks.select("block", F.lit(1).alias("role"), F.lit(0).alias("part"), F.lit(0).alias("n"), F.col("lens").alias("prints"), F.col("own").alias("counts"),
                           F.col("payload").alias("at"), "langs")
     out = arrow_of(ddl)
 
     def run(rows):
         here, got = None, {}
-        for block, role, n, a, b, c, langs in rows:
+        for block, role, part, n, a, b, c, langs in rows:
             if block != here:
                 here, got = block, {}
             if role == 0:
-                got.setdefault(n, []).append((a, b, c))
+                got.setdefault(n, []).append((part, a, b, c))
             else:
                 yield from fn(block, (langs, a, b, c), got)
 
     return keyed_stream(asked.unionByName(whole), ["block"], ["role"], lambda it: emitted(run(rows_of(it)), out), ddl)
 
 
-def _phrases(block: Block, n: int, replies):
-    for _, counts, at in replies:
-        for c, k in zip(spread(counts, np.int64).tolist(), spread(at, np.uint32).tolist()):
-            yield block.langs[block.segment[k]], n, block.phrase(k, n), c
+def _texts(block: Block, n: int, replies):
+    """The phrases under the pointers of a block's frequent entries with their counts, a row for each range and language."""
+    for part, _, counts, at in replies:
+        counts, at = spread(counts, np.int64), spread(at, np.uint32).astype(np.int64)
+        lang = block.lang[at]
+        for k in np.unique(lang[counts > 0]).tolist():
+            mine = (lang == k) & (counts > 0)
+            yield block.names[k], part, n, squeeze(np.frombuffer(block.phrases(n, at[mine]), np.uint8)), squeeze(counts[mine])
+
+
+def _by_text(texts: DataFrame, least: int) -> DataFrame:
+    """(lang, n, phrase, f) of the phrases that the blocks' rows count ``least`` times; memory holds the phrases of one range."""
+    out = arrow_of(FOUND)
+
+    def merged(rows):
+        key, held = None, {}
+        for lang, part, n, blob, counts in rows:
+            if (lang, part, n) != key:
+                yield from ((key[0], key[2], p, f) for p, f in held.items() if f >= least)
+                key, held = (lang, part, n), {}
+            for p, c in zip(spread(blob, np.uint8).tobytes().split(b"\n"), spread(counts, np.int64).tolist()):
+                held[p] = held.get(p, 0) + c
+        yield from ((key[0], key[2], p, f) for p, f in held.items() if f >= least)
+
+    return keyed_stream(texts, ["lang", "part", "n"], [], lambda it: emitted(merged(rows_of(it)), out), FOUND)
 
 
 def phrase_counts(docs: DataFrame, least: int = 100, text_col: str = "text", lang_col: str = "lang", bits: int = 64,
@@ -293,11 +333,11 @@ def phrase_counts(docs: DataFrame, least: int = 100, text_col: str = "text", lan
         block = Block(*args, bits)
         size = np.bincount(block.lang[block.owned], minlength=len(block.names))
         for lang, k in zip(block.names, size.tolist()):
-            yield lang, 0, None, k, None, None, None, None, None
+            yield lang, None, 0, None, None, k, None, None, None
         for n in (1, 2):
-            for row in _phrases(block, n, got.get(n, [])):
-                yield *row, None, None, None, None, None
-        known = [np.cumsum(spread(p, np.uint64), dtype=np.uint64) for p, _, _ in got.get(2, [])]
+            for row in _texts(block, n, got.get(n, [])):
+                yield *row, None, None, None, None
+        known = [np.cumsum(spread(p, np.uint64), dtype=np.uint64) for _, p, _, _ in got.get(2, [])]
         if not known:
             return
         at = np.flatnonzero(block.whole(2))
@@ -309,24 +349,22 @@ def phrase_counts(docs: DataFrame, least: int = 100, text_col: str = "text", lan
             for k in range(n - 1):
                 fits &= common[k:k + len(fits)]
             for part, _, _, p, c, w in _rows(number, n, block.entries(n, np.flatnonzero(fits)), ranges, bits):
-                yield None, n, None, None, part, number, p, c, w
+                yield None, part, n, None, c, None, number, p, w
 
-    mixed_ddl = FOUND + ", part int, block bigint, prints binary, counts binary, at binary"
-    second = written(_with_replies(blocks, first, longer, mixed_ddl), "phrases_short")
+    second = written(_with_replies(blocks, first, longer, TEXTS + ", words bigint, block bigint, prints binary, at binary"), "phrases_short")
     entries = second.where("block is not null").select("part", "n", "block", "prints", "counts", "at")
 
     def last(number, args, got):
         if got:
             block = Block(*args, bits)
             for n, replies in got.items():
-                yield from _phrases(block, n, replies)
-
-    third = _with_replies(blocks, frequent(entries, least), last, FOUND)
-    short = second.where("block is null").select("lang", "n", "phrase", "f")
-    found = (short.where("n > 0").unionByName(third).groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
-             .where(F.col("f") >= least).withColumn("phrase", F.col("phrase").cast("string")))
-    totals = short.where("n = 0").groupBy("lang").agg(F.sum("f").alias("total"))
-    return written(found, "phrases"), totals
+                yield from _texts(block, n, replies)
+
+    third = _with_replies(blocks, frequent(entries, least), last, TEXTS)
+    short = second.where("block is null")
+    found = _by_text(short.where("n > 0").select(*third.columns).unionByName(third), least)
+    totals = short.where("n = 0").groupBy("lang").agg(F.sum("words").alias("total"))
+    return written(found.withColumn("phrase", F.col("phrase").cast("string")), "phrases"), totals
 
 
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000, inside_percent: int = 100, text_col: str = "text",
