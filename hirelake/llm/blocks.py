@@ -106,9 +106,9 @@ def bucket_of(grams: np.ndarray, n: int) -> np.ndarray:
 
 def by_bucket(buckets: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(bucket, its positions in order) of each bucket that occurs."""
-    order = np.argsort(buckets.astype(np.uint16), kind="stable")
-    if not len(order):
+    if not len(buckets):
         return []
+    order = np.argsort(buckets.astype(np.uint16) if buckets.max() < 1 << 16 else buckets, kind="stable")  # 16 bits sort faster
     b = buckets[order]
     at = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1])))
     return [(int(b[i]), order[i:j]) for i, j in zip(at, np.append(at[1:], len(b)))]

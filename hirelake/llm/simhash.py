@@ -102,7 +102,7 @@ def fingerprint_links(prints: DataFrame, radius: int, tile: int = TILE) -> DataF
              .where("pop2 > pop or part2 >= part"))
     second = tiles.select(F.col("pop").alias("pop2"), F.col("part").alias("part2"), F.col("prints").alias("right"))
     pairs = first.join(second, ["pop2", "part2"]).select(
-        "left", F.when((F.col("pop") == F.col("pop2")) & (F.col("part") == F.col("part2")), F.lit(None)).otherwise(F.col("right")).alias("right"))
+        "pop", "part", "pop2", "part2", "left", F.when((F.col("pop") == F.col("pop2")) & (F.col("part") == F.col("part2")), F.lit(None)).otherwise(F.col("right")).alias("right"))
 
     def compare(batches):
         import pyarrow as pa
@@ -117,7 +117,8 @@ def fingerprint_links(prints: DataFrame, radius: int, tile: int = TILE) -> DataF
                 yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
     wide = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return pairs.repartition(wide, F.rand(SEED)).mapInArrow(compare, "a bigint, b bigint")
+    dealt = pairs.repartition(wide, "pop", "part", "pop2", "part2")  # by the tiles' numbers, so that a task that runs again deals alike
+    return dealt.select("left", "right").mapInArrow(compare, "a bigint, b bigint")
 
 
 def rooted(prints: DataFrame, radius: int, least: Column) -> DataFrame:

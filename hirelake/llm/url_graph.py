@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hirelake.llm.common import PRIVATE, read, written
 
+#: Parts that the pages of one host are dealt into.
+SALTS = 32
 #: (verdict, host, path): the rules of the query's contract (fixed values).
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
@@ -122,17 +124,22 @@ def filter_urls(pages: DataFrame, rules=RULES, damping: float = 0.85, steps: int
     times its trust.  Null urls and urls without ``://`` have empty host and
     path, fit no rule and are allowed.  Repeated rows are judged each; null or
     empty html gives no links; input columns with these names are replaced.
+    Pages meet their host's scores in ``SALTS`` parts of each host, so that a
+    host with a third of all pages is not one task.
     """
     names = ["host", "path", "rule", "verdict", "trust", "distrust"]
     base = pages.drop(*names)
     rule, verdict = matched(F.col("host"), F.col("path"), rules)
+    own_host, by_rule, salt = (PRIVATE + x for x in ("host", "verdict", "salt"))
     parsed = (base.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
-              .withColumn("rule", rule).withColumn("rule_verdict", verdict))
-    scores = host_scores(parsed.select("host", "html", "rule_verdict"), damping, steps).withColumnRenamed("host", PRIVATE + "host")
-    judged = parsed.join(scores, parsed.host == F.col(PRIVATE + "host"), "left")
+              .withColumn("rule", rule).withColumn(by_rule, verdict))
+    scores = host_scores(parsed.select("host", "html", F.col(by_rule).alias("rule_verdict")), damping, steps)
+    scores = scores.select(F.col("host").alias(own_host), "trust", "distrust", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(salt + "s"))
+    parsed = parsed.withColumn(salt, F.pmod(F.xxhash64("url", "html"), F.lit(SALTS)).cast("int"))
+    judged = parsed.join(scores, (F.col("host") == F.col(own_host)) & (F.col(salt) == F.col(salt + "s")), "left")
     trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
     own = F.when(distrust > trust * margin, "block").otherwise("allow")
-    return judged.select(*base.columns, "host", "path", "rule", F.coalesce("rule_verdict", own).alias("verdict"),
+    return judged.select(*base.columns, "host", "path", "rule", F.coalesce(by_rule, own).alias("verdict"),
                          trust.alias("trust"), distrust.alias("distrust"))
 
 

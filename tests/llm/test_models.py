@@ -189,3 +189,12 @@ def test_language_code_lengths_match_brute_force():
     texts = [b"the mat", b"", b"zebra on a mat", "été".encode()]
     bits = language.code_lengths(texts, trees, 3)[:, 0]
     assert bits == pytest.approx([-brute_ppm(tree, t, 3) * math.log2(10) for t in texts])
+
+
+def test_buckets_beyond_sixteen_bits_stay_whole():
+    import numpy as np
+    from hirelake.llm import blocks
+    buckets = np.array([70_000, 4_464, 70_000, 1, 4_464, 799_999, 70_000])
+    got = {b: at.tolist() for b, at in blocks.by_bucket(buckets)}
+    assert got == {1: [3], 4_464: [1, 4], 70_000: [0, 2, 6], 799_999: [5]}
+    assert blocks.by_bucket(np.zeros(0, np.int64)) == []
