@@ -5,10 +5,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hirelake.session import scratch_path
 
-#: Names of helper columns start with this; input columns of these names are refused.
+#: Names of helper columns start with this, or with :func:`private` where they stand beside a caller's columns.
 PRIVATE = "__llm_"
 
 
+def private(df: DataFrame) -> str:
+    """A beginning for helper columns' names that no column of ``df`` has."""
+    prefix = PRIVATE
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -59,15 +67,17 @@ def append_scores(df: DataFrame, text_col: str, new_fields: str, make_scorer, ke
 
     ``make_scorer()`` runs once per task and returns a function from a list of
     texts (bytes) to a dict of column lists.  Other columns pass through as
-    Arrow data, untouched.  Texts are handed over in blocks of at most
-    ``block_bytes`` (a longer text is a block of its own).
+    Arrow data, untouched; those with a new column's name are replaced.  Texts
+    are handed over in blocks of at most ``block_bytes`` (a longer text is a
+    block of its own).
     """
-    cols = list(df.columns) if keep is None else list(keep)
-    raw = PRIVATE + "raw"
-    src = df.select(*[F.col(f"`{c}`") for c in cols], text_bytes(F.col(f"`{text_col}`")).alias(raw))
-    base = df.select(*[F.col(f"`{c}`") for c in cols])
     from pyspark.sql.types import StructType
     added = StructType.fromDDL(new_fields)
+    taken = {f.name.lower() for f in added.fields}
+    cols = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
+    raw = private(df) + "raw"
+    src = df.select(*[F.col(f"`{c}`") for c in cols], text_bytes(F.col(f"`{text_col}`")).alias(raw))
+    base = df.select(*[F.col(f"`{c}`") for c in cols])
     schema = StructType(list(base.schema.fields) + list(added.fields))
     names = [f.name for f in added.fields]
     out = arrow_schema(schema)

@@ -12,11 +12,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from hirelake.llm.blocks import arrow_of, batch_of, rows_of
-from hirelake.llm.common import PRIVATE, keyed_stream, read, text_bytes, written
+from hirelake.llm.common import keyed_stream, private, read, text_bytes, written
 
 SLOTS = 4
 KICKS = 200
-INDEX_DDL = "shard int, n_buckets bigint, slots binary, digests binary, best array<bigint>, copies array<bigint>"
+#: Digests that a shard of an index is made for.
+SHARD_DIGESTS = 250_000
+
+
+def index_ddl(id_type: str) -> str:
+    """The columns of an index, by the type of the ids."""
+    return f"shard int, n_buckets bigint, slots binary, digests binary, best array<{id_type}>, copies array<bigint>"
+
+
+def _id_type(index: DataFrame | None, inserts: DataFrame | None) -> str:
+    if index is not None:
+        return index.schema["best"].dataType.elementType.simpleString()
+    return inserts.schema["best"].dataType.simpleString() if inserts is not None else "bigint"
 
 
 class CuckooShard:
@@ -133,18 +145,19 @@ def apply(index: DataFrame | None, inserts: DataFrame | None = None, deletes: Da
     ``inserts`` has (digest, best, copies), any number of rows a digest;
     ``deletes`` has (digest).  ``n_shards`` must be that of the given index.
     """
-    out = arrow_of(INDEX_DDL)
+    kind = _id_type(index, inserts)
+    out = arrow_of(index_ddl(kind))
     none = lambda t: F.lit(None).cast(t)
     cols = ["shard", "step", "digest", "best", "copies", "n_buckets", "slots", "digests", "bests", "counts"]
     parts = []
     if index is not None:
-        parts.append(index.select("shard", F.lit(0).alias("step"), none("binary").alias("digest"), none("bigint").alias("best"),
+        parts.append(index.select("shard", F.lit(0).alias("step"), none("binary").alias("digest"), none(kind).alias("best"),
                                   none("bigint").alias("copies"), "n_buckets", "slots", "digests", F.col("best").alias("bests"),
                                   F.col("copies").alias("counts")))
     blank = [none("bigint").alias("n_buckets"), none("binary").alias("slots"), none("binary").alias("digests"),
-             none("array<bigint>").alias("bests"), none("array<bigint>").alias("counts")]
+             none(f"array<{kind}>").alias("bests"), none("array<bigint>").alias("counts")]
     if deletes is not None:
-        parts.append(deletes.select(_shard(n_shards).alias("shard"), F.lit(1).alias("step"), "digest", none("bigint").alias("best"),
+        parts.append(deletes.select(_shard(n_shards).alias("shard"), F.lit(1).alias("step"), "digest", none(kind).alias("best"),
                                     none("bigint").alias("copies"), *blank))
     if inserts is not None:
         parts.append(inserts.select(_shard(n_shards).alias("shard"), F.lit(2).alias("step"), "digest", "best", "copies", *blank))
@@ -168,12 +181,12 @@ def apply(index: DataFrame | None, inserts: DataFrame | None = None, deletes: Da
         if state is not None:
             yield state.row(here)
 
-    return keyed_stream(events.select(*cols), ["shard"], ["step"], lambda it: (batch_of(out, [r]) for r in play(rows_of(it))), INDEX_DDL)
+    return keyed_stream(events.select(*cols), ["shard"], ["step"], lambda it: (batch_of(out, [r]) for r in play(rows_of(it))), index_ddl(kind))
 
 
 def live(index: DataFrame) -> DataFrame:
     """(digest, keep_id, group_size) of every live digest of the index."""
-    ddl = "digest binary, keep_id bigint, group_size bigint"
+    ddl = f"digest binary, keep_id {_id_type(index, None)}, group_size bigint"
     out = arrow_of(ddl)
 
     def rows(batches):
@@ -193,8 +206,7 @@ def exact_groups(keyed: DataFrame, n_salts: int = 32) -> DataFrame:
     move and after, so a digest that a third of the rows share reaches its
     shard as at most ``n_salts`` rows.
     """
-    spark = keyed.sparkSession
-    n_shards = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n_shards = max(64, -(-keyed.count() // SHARD_DIGESTS))
     part = (keyed.groupBy("digest", F.pmod(F.xxhash64("id"), F.lit(n_salts)).alias("salt"))
             .agg(F.max("id").alias("best"), F.count(F.lit(1)).alias("copies")))
     return live(written(apply(None, part, n_shards=n_shards), "cuckoo"))
@@ -222,10 +234,11 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     from hirelake.llm.simhash import one_row_each
 
     keyed = written(digests(docs, id_col, text_col), "digests")
-    stay = exact_groups(keyed).select(F.col("keep_id").alias(PRIVATE + "id"), F.col("digest").alias(PRIVATE + "kept"))
-    digest = PRIVATE + "digest"
+    name = private(docs)
+    stay = exact_groups(keyed).select(F.col("keep_id").alias(name + "id"), F.col("digest").alias(name + "kept"))
+    digest = name + "digest"
     marked = docs.withColumn(digest, F.unhex(F.sha2(text_bytes(F.col(f"`{text_col}`")), 256)))
-    return one_row_each(marked, stay, [(id_col, PRIVATE + "id"), (digest, PRIVATE + "kept")]).drop(digest)
+    return one_row_each(marked, stay, [(id_col, name + "id"), (digest, name + "kept")]).drop(digest)
 
 
 def op3_cuckoo_dedup(spark, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hirelake.llm.blocks import arrow_of, batch_of, emitted, rows_of
-from hirelake.llm.common import text_bytes
+from hirelake.llm.common import arrow_schema, text_bytes
 
 BITS = 18
 PREFIXES = (4, 5, 6)
@@ -119,8 +119,9 @@ def sample_matrix(sample: DataFrame, chosen: np.ndarray) -> tuple[list, list, li
 
     Bounded by the sample: at most ``len(chosen)`` numbers a document, sent and held as packed arrays.
     """
-    ddl = "id bigint, label int, columns binary, values binary, words bigint"
-    out = arrow_of(ddl)
+    from pyspark.sql.types import StructType
+    ddl = StructType([sample.schema["id"], *StructType.fromDDL("label int, columns binary, values binary, words bigint").fields])
+    out = arrow_schema(ddl)
 
     def run(batches):
         feats = Featurizer(chosen)
@@ -138,14 +139,18 @@ def sample_matrix(sample: DataFrame, chosen: np.ndarray) -> tuple[list, list, li
 
 
 class Rows:
-    """A small sparse matrix with the two products that fitting needs: sums of runs, by row and by column."""
+    """A small sparse matrix with the two products that fitting needs: sums of runs, by row and by column.
+
+    It empties the lists that it is given, so that the sample is held once.
+    """
 
     def __init__(self, columns: list, values: list, width: int):
         self.n, self.width = len(columns), width
-        row = np.repeat(np.arange(self.n), [len(c) for c in columns])
+        row = np.repeat(np.arange(self.n, dtype=np.int32), [len(c) for c in columns])
         col = np.concatenate([np.asarray(c, np.int32) for c in columns] or [np.empty(0, np.int32)])
         val = np.concatenate([np.asarray(v, float) for v in values] or [np.empty(0)])
-        order = np.argsort(col, kind="stable")
+        columns.clear(), values.clear()  # the caller's lists hold the same numbers again
+        order = np.argsort(col, kind="stable").astype(np.int32)
         self.by_row = (*self._runs(row), col, val)
         self.by_col = (*self._runs(col[order]), row[order], val[order])
 

@@ -5,7 +5,9 @@ posteriors over domains.  Nonnegative rates, one a document, are fitted by
 projected-gradient least squares so that the expected domain token totals meet
 the targets; a small term keeps rates near one.  The table of posteriors stays
 distributed: an iteration sums vectors of domain totals, and the driver keeps
-one vector, from which any task can replay a document's rate.
+one vector, from which any task can replay a document's rate.  The fixed point
+of the projected gradient is reached by Newton steps in that vector, not by one
+gradient step a pass over the members.
 """
 from __future__ import annotations
 
@@ -15,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hirelake.llm.blocks import arrow_of, batch_of
-from hirelake.llm.common import PRIVATE, append_scores, read, written
+from hirelake.llm.common import append_scores, private, read, written
 from hirelake.llm.features import Featurizer, Rows, class_counts, labelled_sample, sample_matrix, select_features
 
 MOST_DOCS = 20_000
@@ -228,13 +230,15 @@ def report(names: list[str], targets: np.ndarray, reached: np.ndarray) -> None:
 
 def mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, scale: float = 1.0, low: float = 0.0,
             high: float = 1e9, keep: list[str] | None = None, prefix: str = "", ratios: bool = False) -> tuple[DataFrame, dict, np.ndarray]:
-    """The rows with ``tokens``, ``posterior`` and ``rate``; the classifier; the reached totals over all tokens.
+    """The rows with ``tokens``, ``posterior`` and ``rate`` (input columns of these names are replaced); the classifier;
+    the reached totals over all tokens.
 
     Null and empty texts have no tokens and get the rate that their prior
     posterior earns.  Repeated rows are members each.  Without labelled
     documents every rate is one.
     """
     model = train_domains(docs, labelled)
+    keep = [c for c in (keep or docs.columns) if c.lower() != f"{prefix}rate"]
     members = written(posteriors(docs, model, keep=keep, prefix=prefix), "members")
     t = target_vector(model["names"], targets)
     ridge = RATIO_RIDGE if ratios else RIDGE
@@ -252,12 +256,13 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGET
     The targets are shares of what comes out, among the domains that have one:
     wanted domains are repeated until the others have come down to theirs.
     Domains without a target stay, and the shares reached are logged."""
-    rated, _, _ = mixture(docs, labelled, targets, low=low, high=high, prefix=PRIVATE, ratios=True)
-    rate = F.col(PRIVATE + "rate")
+    name = private(docs)
+    rated, _, _ = mixture(docs, labelled, targets, low=low, high=high, prefix=name, ratios=True)
+    rate = F.col(name + "rate")
     chance = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20))
     times = F.floor(rate + F.lit(1e-9)).cast("int") + (chance < rate - F.floor(rate + F.lit(1e-9))).cast("int")
-    return (rated.withColumn(PRIVATE + "times", times).where(F.col(PRIVATE + "times") > 0)
-            .withColumn(PRIVATE + "copy", F.explode(F.sequence(F.lit(1), F.col(PRIVATE + "times"))))
+    return (rated.withColumn(name + "times", times).where(F.col(name + "times") > 0)
+            .withColumn(name + "copy", F.explode(F.sequence(F.lit(1), F.col(name + "times"))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hirelake.llm.common import PRIVATE, append_scores, read, text_bytes, written
+from hirelake.llm.common import append_scores, private, read, text_bytes, written
 from hirelake.llm.components import components
 
 TILE = 32768
@@ -153,13 +153,14 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_
     """The documents less all but one of each group: the row with the least id
     (null ids last), of several texts with that id the least digest, and of
     repeated rows of both one.  Columns as given."""
-    digest = PRIVATE + "digest"
+    name = private(docs)
+    digest = name + "digest"
     marked = docs.withColumn(digest, F.unhex(F.sha2(text_bytes(F.col(f"`{text_col}`")), 256)))
     prints = written(fingerprints(marked, shingle, text_col, [id_col, digest]), "fingerprints")
     head = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"), F.col(digest).alias("digest"))
     heads = rooted(prints, radius, F.min(head)).groupBy("root").agg(F.min("least").alias("head"))
-    stay = heads.select(F.col("head.id").alias(PRIVATE + "id"), F.col("head.digest").alias(PRIVATE + "kept"))
-    return one_row_each(marked, stay, [(id_col, PRIVATE + "id"), (digest, PRIVATE + "kept")]).drop(digest)
+    stay = heads.select(F.col("head.id").alias(name + "id"), F.col("head.digest").alias(name + "kept"))
+    return one_row_each(marked, stay, [(id_col, name + "id"), (digest, name + "kept")]).drop(digest)
 
 
 def one_row_each(docs: DataFrame, keys: DataFrame, on: list[tuple[str, str]]) -> DataFrame:
@@ -170,7 +171,7 @@ def one_row_each(docs: DataFrame, keys: DataFrame, on: list[tuple[str, str]]) ->
     for x, y in on:
         c = docs[f"`{x}`"].eqNullSafe(keys[y])
         cond = c if cond is None else cond & c
-    rank = PRIVATE + "rank"
+    rank = private(docs) + "rank"
     cols = [docs[f"`{c}`"] for c in docs.columns]
     w = Window.partitionBy(*[docs[f"`{x}`"] for x, _ in on]).orderBy(F.xxhash64(*cols))
     return (docs.join(keys, cond, "left_semi").withColumn(rank, F.row_number().over(w))

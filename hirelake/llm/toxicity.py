@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from hirelake.llm.common import PRIVATE, append_scores, read
+from hirelake.llm.common import append_scores, private, read
 from hirelake.llm.features import Featurizer, Rows, class_counts, labelled_sample, sample_matrix, select_features
 
 GRADES = 3          # grade 0 and two grades of toxic documents
@@ -101,7 +101,7 @@ def scores(docs: DataFrame, model: dict, text_col: str = "text", keep: list[str]
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents whose expected severity is below ``threshold``.  Columns as
     given; null and empty texts stay; repeated rows are judged alike."""
-    into = PRIVATE + "severity"
+    into = private(docs) + "severity"
     return scores(docs, train(docs, labels), into=into).where(F.col(into) < threshold).drop(into)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hirelake.llm.common import PRIVATE, read, written
+from hirelake.llm.common import private, read, written
 
 #: Parts that the pages of one host are dealt into.
 SALTS = 32
@@ -130,7 +130,7 @@ def filter_urls(pages: DataFrame, rules=RULES, damping: float = 0.85, steps: int
     names = ["host", "path", "rule", "verdict", "trust", "distrust"]
     base = pages.drop(*names)
     rule, verdict = matched(F.col("host"), F.col("path"), rules)
-    own_host, by_rule, salt = (PRIVATE + x for x in ("host", "verdict", "salt"))
+    own_host, by_rule, salt = (private(pages) + x for x in ("host", "verdict", "salt"))
     parsed = (base.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
               .withColumn("rule", rule).withColumn(by_rule, verdict))
     scores = host_scores(parsed.select("host", "html", F.col(by_rule).alias("rule_verdict")), damping, steps)
