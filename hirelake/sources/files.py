@@ -1,10 +1,14 @@
 """Scans of the source files: CSV with a header, Parquet rows, input picking."""
 from __future__ import annotations
 
+import csv
+import io
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hirelake.functions.vocab import CSV_NA_VALUES
+from hirelake.sources.records import csv_records
 
 
 def pandas_style_headers(names: list[str]) -> list[str]:
@@ -30,39 +34,30 @@ def pandas_style_headers(names: list[str]) -> list[str]:
     return out
 
 
-def _csv_reader(spark: SparkSession, header: bool):
-    return (spark.read.option("header", header).option("multiLine", True).option("escape", '"')
-            .option("inferSchema", False).option("mode", "PERMISSIVE"))
-
-
-def _same_headers(spark: SparkSession, path: str) -> None:
-    """Several files are read by position, so they must share one header."""
-    lines = (spark.read.option("recursiveFileLookup", True).text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-             if not path.endswith(".csv") else None)
-    if lines is None:
-        return
-    starts = lines.where("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("header"))
-    if starts.select("header").distinct().limit(2).count() > 1:
-        raise ValueError(f"the CSV files under {path} have different headers: read them one at a time")
-
-
 def read_csv_source(spark: SparkSession, path: str, na_values=CSV_NA_VALUES,
                     min_partitions: int | None = None) -> DataFrame:
     """All columns as text, quoted multi-line fields allowed, the usual
     missing-value spellings turned into NULL, repeated headers de-duplicated.
 
-    A multi-line CSV file cannot be split, so each file is one task; when
-    ``min_partitions`` is given the rows are spread out afterwards (round
-    robin, no key) so the mapping work runs in parallel.
+    Files are cut into records in parallel (see ``sources.records``), so one
+    large file is as many tasks as it has splits; its records are parsed by
+    Spark.  Files under a folder are read by position and must share one
+    header.  Blank lines are skipped.  ``min_partitions`` spreads the rows of
+    inputs with fewer splits (round robin, no key).
     """
-    first = _csv_reader(spark, False).csv(path).first()
-    _same_headers(spark, path)
-    df = _csv_reader(spark, True).csv(path)
-    if first is not None:
-        df = df.toDF(*pandas_style_headers(list(first)))
+    records = csv_records(spark, path)
+    headers = [r.record for r in records.where("header").select("record").distinct().limit(2).collect()]
+    if len(headers) > 1:
+        raise ValueError(f"the CSV files under {path} have different headers: read them one at a time")
+    if not headers:
+        return spark.createDataFrame([], "value string").drop("value")
+    names = pandas_style_headers(next(csv.reader(io.StringIO(headers[0].lstrip("\ufeff"), newline=""))))
+    fields = ", ".join(f"c{i} string" for i in range(len(names)))
+    rows = records.where("not header and trim(record) != ''").select(
+        F.from_csv("record", fields, {"escape": '"', "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"}).alias("r"))
     na = list(na_values)
-    df = df.select(*[F.when(F.col(f"`{c}`").isin(na), F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c)
-                     for c in df.columns])
+    value = [F.col(f"r.c{i}") for i in range(len(names))]
+    df = rows.select(*[F.when(v.isin(na), F.lit(None)).otherwise(v).alias(n) for n, v in zip(names, value)])
     if min_partitions:
         df = df.repartition(int(min_partitions))
     return df
