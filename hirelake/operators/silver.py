@@ -13,16 +13,36 @@ from hirelake.functions.text import blank_to_null, trim_ws
 from hirelake.schema import conform
 
 
-def union_all(frames: list[DataFrame], skills_as: str = "json") -> DataFrame:
+#: Where a stored row lies: a digest of its file's path, and its place in the file.
+LOCATOR = ("_file", "_row")
+
+
+def located(df: DataFrame) -> DataFrame:
+    """The columns and the ``LOCATOR`` of every row.  Rows that do not come straight from Parquet files are stored first."""
+    from hirelake.session import scratch_path
+
+    place = [F.unhex(F.md5(F.col("_metadata.file_path").cast("binary"))).alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":  # only a bare scan's places are its rows'
+        path = scratch_path(df.sparkSession, "landed")
+        df.write.parquet(path)
+        df = df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.select("*", *place)
+
+
+def union_all(frames: list[DataFrame], skills_as: str = "json", locate: bool = False) -> DataFrame:
     """UNION ALL of canonical frames, in the order given.
 
     Every input is projected to the canonical columns first, so positional and
-    by-name union agree.  No input at all is an error.
+    by-name union agree.  No input at all is an error.  ``locate`` adds the
+    ``LOCATOR`` columns (see :func:`located`).
     """
     frames = [f for f in frames if f is not None]
     if not frames:
         raise ValueError("no source tables are present: nothing to union")
-    projected = [conform(f, skills_as=skills_as, on_invalid="keep") for f in frames]
+    if locate:
+        frames = [located(f) for f in frames]
+    keep = {c: c for c in LOCATOR} if locate else {}
+    projected = [conform(f, skills_as=skills_as, on_invalid="keep", keep=keep) for f in frames]
     return reduce(lambda a, b: a.unionByName(b), projected)
 
 
@@ -87,10 +107,51 @@ def deduplicate(df: DataFrame, keep_key: bool = False, tie_breakers=()) -> DataF
     return out.drop("_dedup_rank", "_dedup_group", "_dedup_tie")
 
 
+#: What the marts need of a posting, texts apart.
+NARROW = ("source_id", "posted_date", "job_url", "job_url_normalized", "skills_normalized", "ingested_at")
+
+
+def deduplicate_late(df: DataFrame, locator=LOCATOR, tie_breakers=(), carry=NARROW) -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`deduplicate`, twice: their narrow columns, and whole.
+
+    Rows are ranked without their texts: the key's digest, load time, tie
+    digest and the ``locator``, which must name a row and be the same whenever
+    ``df`` is read again.  The narrow winners (``carry``, the text flags and the
+    locator) are written; the whole rows are ``df`` less the written losers, so
+    texts are read once more and never sorted.  The losers are broadcast while
+    Spark's threshold holds their measured size; beyond it both sides are
+    hashed by the locator, and only the losers' narrow side builds a table.
+    """
+    from hirelake.session import scratch_path
+
+    spark = df.sparkSession
+
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    ties = [c for c in (*TIE_COLUMNS, *tie_breakers) if c in df.columns]
+    names = list(dict.fromkeys([*locator, "source_id", "ingested_at", "job_url", *carry]))
+    keys = written(with_dedup_key(df).select(
+        *names, F.md5(F.col("_dedup_key").cast("binary")).alias("_dedup_group"), "_dedup_fingerprint", row_digest(df, ties).alias("_dedup_tie"),
+        has_text("job_title").alias("_has_title"), has_text("job_description").alias("_has_description")), "dedup_keys")
+    w = Window.partitionBy("source_id", "_dedup_group").orderBy(
+        F.col("ingested_at").desc_nulls_last(), F.col("job_url").asc_nulls_last(), F.col("_dedup_tie").asc(), *locator)
+    winners = written(keys.withColumn("_dedup_rank", F.row_number().over(w)).where(F.col("_dedup_rank") == 1)
+                      .drop("_dedup_rank", "_dedup_group", "_dedup_tie"), "dedup_winners")
+    losers = written(keys.select(*locator).join(winners.select(*locator), list(locator), "left_anti"), "dedup_losers")
+    size = int(str(losers._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    most = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if size > most:
+        losers = losers.hint("shuffle_hash")
+    whole = df.join(losers, list(locator), "left_anti").drop(*[c for c in locator if c in LOCATOR])
+    return winners, whole
+
+
 def skills_long(dedup: DataFrame) -> DataFrame:
     """One row per (posting, skill); postings without skills vanish."""
-    exploded = dedup.select(
-        "source_id", "source_name", "job_title", "company_name", "posted_date", "job_url",
-        "ingested_at", F.explode("skills_normalized").alias("skill"))
+    names = [c for c in ("source_id", "source_name", "job_title", "company_name", "posted_date", "job_url", "ingested_at") if c in dedup.columns]
+    exploded = dedup.select(*names, F.explode("skills_normalized").alias("skill"))
     return (exploded.withColumn("skill", trim_ws("skill"))
                     .where(F.col("skill").isNotNull() & (F.col("skill") != "")))

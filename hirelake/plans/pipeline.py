@@ -1,10 +1,9 @@
 """The batch chain: ingest -> load -> master -> silver/gold marts.
 
-One Spark application runs the layers in order.  The deduplicated frame feeds
-four outputs, so it is written once (to the warehouse path, or checkpointed
-into ``spark.checkpoint.dir``) instead of being recomputed per mart; that also
-cuts the lineage, so a lost executor re-reads files instead of replaying the
-whole chain.
+One Spark application runs the layers in order.  Duplicates are ranked once,
+without texts, and the winners' narrow columns are written to the scratch folder
+for the marts; that also cuts the lineage, so a lost executor re-reads files
+instead of replaying the whole chain.
 """
 from __future__ import annotations
 
@@ -17,9 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from hirelake.operators import gold as G
 from hirelake.operators import master as M
 from hirelake.operators import silver as S
+from hirelake.schema import conform
 from hirelake.session import scratch_path
 from hirelake.sources import sinks
 from hirelake.sources.catalog import RAW_TABLE_IDS, present_sources
+from hirelake.sources.versions import Lake, Run
 
 log = logging.getLogger(__name__)
 
@@ -43,15 +44,26 @@ class Marts:
     paths: dict = field(default_factory=dict)
 
 
-def ingest(spark: SparkSession, sources: list[SourceSpec], base: str, only: str | None = None) -> list[str]:
-    """Map and land each source in order; the first failure stops the run."""
-    done = []
-    for spec in sources:
-        if only and spec.name != only:
-            continue
-        sinks.write_lake(spec.build(spark), base, spec.dataset)
-        done.append(spec.name)
-    return done
+def ingest(spark: SparkSession, sources: list[SourceSpec], base: str, only: str | None = None,
+           run_id: str | None = None) -> list[str]:
+    """Map and stage each source in order, then publish all of them in one step.
+
+    The first failure stops the run and leaves the lake as it was.  With the
+    ``run_id`` of a run that failed, the sources that it had staged are not
+    mapped again.
+    """
+    lake, run = Lake(spark, base), Run(spark, base, run_id)
+    staged = {}
+    chosen = [spec for spec in sources if not only or spec.name == only]
+    for spec in chosen:
+        version = run.version(spec.name)
+        if version is None:
+            version = lake.stage(spec.dataset, conform(spec.build(spark), skills_as="keep"))
+            run.record(spec.name, version)
+        staged[spec.dataset] = version
+    if staged:
+        lake.publish(staged)
+    return [spec.name for spec in chosen]
 
 
 def load(spark: SparkSession, sources: list[SourceSpec], base: str, only: str | None = None,
@@ -74,13 +86,16 @@ def persist_point(df: DataFrame, path: str | None) -> DataFrame:
 
 
 def build_marts(raw_frames: list[DataFrame], out: str | None = None) -> Marts:
-    """Silver + gold from the raw tables.  With ``out`` the deduplicated rows
-    and the two partitioned marts are written under it."""
-    dedup = S.deduplicate(S.standardize(S.union_all(raw_frames)))
-    dedup = persist_point(dedup, f"{out}/int_jobs_deduplicated" if out else None)
+    """Silver + gold from the raw tables (stored ones are read in place).  With ``out`` the two partitioned marts are written under it.
+
+    Duplicates are ranked without texts; the narrow winners feed the three
+    aggregated marts, and only the curated one reads texts again.
+    """
+    standard = S.standardize(S.union_all(raw_frames, locate=True), keep=S.LOCATOR)
+    winners, dedup = S.deduplicate_late(standard)
     curated = G.curate(dedup)
-    volume = G.posting_volume(dedup)
-    marts = Marts(dedup, curated, volume, G.skill_demand(S.skills_long(dedup)), G.cross_source_urls(dedup))
+    volume = G.posting_volume(winners)
+    marts = Marts(dedup, curated, volume, G.skill_demand(S.skills_long(winners)), G.cross_source_urls(winners))
     if out:
         marts.paths["mart_jobs_curated"] = sinks.write_partitioned(
             curated, f"{out}/mart_jobs_curated", "posted_date", ("source_id", "content_quality_bucket"))
@@ -91,9 +106,9 @@ def build_marts(raw_frames: list[DataFrame], out: str | None = None) -> Marts:
 
 def run_batch(spark: SparkSession, sources: list[SourceSpec], base: str, out: str | None = None,
               skip_models: bool = False, master: str = "master_jobs",
-              table_root: str | None = None) -> Marts | None:
-    """ingest -> load -> master view -> marts (unless ``skip_models``)."""
-    ingest(spark, sources, base)
+              table_root: str | None = None, run_id: str | None = None) -> Marts | None:
+    """ingest -> load -> master view -> marts (unless ``skip_models``).  ``run_id`` resumes a run whose ingest failed."""
+    ingest(spark, sources, base, run_id=run_id)
     load(spark, sources, base, table_root=table_root)
     present = present_sources(spark, [s.table for s in sources] or list(RAW_TABLE_IDS))
     if not present:
@@ -102,4 +117,4 @@ def run_batch(spark: SparkSession, sources: list[SourceSpec], base: str, out: st
     sinks.create_master_view(spark, M.master_clean(frames), master)
     if skip_models:
         return None
-    return build_marts(frames, out)
+    return build_marts([sinks.stored_raw_table(spark, t, table_root) for t in present], out)

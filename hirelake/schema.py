@@ -39,10 +39,10 @@ def _skills_column(df: DataFrame, skills_as: str) -> Column:
 
 
 def conform(df: DataFrame, skills_as: str = "json", on_invalid: str = "error",
-            ingested_at: Column | None = None) -> DataFrame:
+            ingested_at: Column | None = None, keep: dict[str, str] | None = None) -> DataFrame:
     """Project any frame onto the canonical columns, in canonical order and types.
 
-    * Missing optional columns become NULL; extra columns are dropped.
+    * Missing optional columns become NULL; extra columns are dropped, but for those in ``keep`` (new name -> column).
     * ``skills`` is stored as JSON text (``skills_as='json'``), kept as is
       (``'keep'``) or required to be a list (``'array'``).
     * ``ingested_at`` defaults to the local clock when absent.
@@ -62,7 +62,7 @@ def conform(df: DataFrame, skills_as: str = "json", on_invalid: str = "error",
             out.append(F.col(f.name).cast(f.dataType).alias(f.name))
         else:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
-    projected = df.select(*out)
+    projected = df.select(*out, *[F.col(c).alias(n) for n, c in (keep or {}).items()])
     missing = F.col("source_id").isNull() | F.col("source_name").isNull()
     if on_invalid == "drop":
         return projected.where(~missing)

@@ -23,8 +23,8 @@ def present_sources(spark: SparkSession, candidates: Sequence[str] = RAW_TABLE_I
 
 
 def list_raw_tables(spark: SparkSession, database: str | None = None) -> list[str]:
-    """Every table or view named like ``raw_*``, sorted."""
-    names = {t.name for t in spark.catalog.listTables(database) if RAW_NAME.match(t.name)}
+    """Every table or view named like ``raw_*``, sorted; with ``database`` only those stored in it."""
+    names = {t.name for t in spark.catalog.listTables(database) if RAW_NAME.match(t.name) and not (database and t.isTemporary)}
     return sorted(names)
 
 

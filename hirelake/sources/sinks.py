@@ -2,12 +2,17 @@
 from __future__ import annotations
 
 import logging
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType
 from pyspark.errors import AnalysisException
 
 from hirelake.functions.dates import as_date_literal, month_start
-from hirelake.schema import conform
+from hirelake.functions.sql import sql_literal
+from hirelake.functions.vocab import WHITESPACE
+from hirelake.schema import JOBS_SCHEMA, conform
+from hirelake.sources.versions import Lake, VersionedTable, read_drifted
 
 log = logging.getLogger(__name__)
 
@@ -16,35 +21,51 @@ ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def write_lake(df: DataFrame, base: str, dataset: str) -> str:
-    """Replace ``<base>/raw/<dataset>`` with the canonical rows as Parquet."""
-    path = f"{base.rstrip('/')}/raw/{dataset}"
-    conform(df, skills_as="keep").write.mode("overwrite").parquet(path)
-    return path
+    """Replace the lake's rows of a dataset with the canonical rows as Parquet; the path of the new version.
+
+    Readers see the old rows until the new ones are complete (see ``sources.versions``).
+    """
+    lake = Lake(df.sparkSession, base)
+    lake.publish({dataset: lake.stage(dataset, conform(df, skills_as="keep"))})
+    return lake.path(dataset)
+
+
+def _raw_versions(spark: SparkSession, table: str, table_root: str | None) -> VersionedTable:
+    root = table_root or spark.conf.get("spark.sql.warehouse.dir") + "/versions"
+    return VersionedTable(spark, f"{root.rstrip('/')}/{table}")
+
+
+def stored_raw_table(spark: SparkSession, table: str, table_root: str | None = None) -> DataFrame:
+    """The rows of a raw table straight from its current version's files; of a table that was not loaded so, the table."""
+    versions = _raw_versions(spark, table, table_root)
+    return versions.read() if versions.current() else spark.table(table)
 
 
 def load_raw_table(spark: SparkSession, base: str, dataset: str, table: str,
                    table_root: str | None = None) -> bool:
-    """Truncate-and-replace ``table`` from every Parquet file under the
-    dataset folder.  No files -> warn and leave the table untouched.
-
-    By default the table goes to the session catalog.  With ``table_root`` it
-    is written as Parquet under ``<table_root>/<table>`` and registered as a
-    temporary view of that name (for sessions without a writable warehouse).
+    """Truncate-and-replace ``table`` from every Parquet file of the dataset's
+    current version.  No files -> warn and leave the table untouched.
+
+    The files need not have one schema: columns are matched by name and
+    drifted types widened.  The rows are staged as a new version of the table
+    and become visible in one step, so a load that fails leaves the old ones.
+    The table is a view of its current version: in the session catalog, with
+    versions under the warehouse, or with ``table_root`` a temporary view, with
+    versions under ``<table_root>/<table>``.
     """
-    path = f"{base.rstrip('/')}/raw/{dataset}"
+    path = Lake(spark, base).path(dataset)
     try:
-        df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(path)
+        df = read_drifted(spark, path)
     except AnalysisException as e:
         if e.getCondition() not in ABSENT:
             raise
         log.warning("no Parquet files under %s (%s); %s left as is", path, e.getMessage()[:80], table)
         return False
+    current = _raw_versions(spark, table, table_root).replace(df)
     if table_root:
-        target = f"{table_root.rstrip('/')}/{table}"
-        df.write.mode("overwrite").parquet(target)
-        spark.read.parquet(target).createOrReplaceTempView(table)
+        spark.read.parquet(current).createOrReplaceTempView(table)
     else:
-        df.write.mode("overwrite").saveAsTable(table)
+        spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM parquet.`{current}`")
     return True
 
 
@@ -54,6 +75,31 @@ def create_master_view(spark: SparkSession, df: DataFrame, name: str = "master_j
     df.createOrReplaceTempView(name)
 
 
+def _master_sql(spark: SparkSession, table: str) -> str:
+    """The clean master projection of one raw table, as SQL."""
+    have = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    text = lambda c: f"coalesce(trim(BOTH {sql_literal(WHITESPACE)} FROM {c}), '')"
+    columns = {}
+    for f in JOBS_SCHEMA.fields:
+        value = "NULL" if f.name not in have else f"to_json({f.name})" if f.name == "skills" and isinstance(have["skills"], ArrayType) else f.name
+        columns[f.name] = f"CAST({value} AS {f.dataType.simpleString()})"
+    columns["salary_info"] = f"coalesce({columns['salary_info']}, '')"
+    complete = (f"{text(columns['job_title'])} != '' AND ({text(columns['job_description'])} != '' OR {columns['skills']} IS NOT NULL)")
+    return f"SELECT {', '.join(f'{c} AS {n}' for n, c in columns.items())}, {complete} AS is_complete FROM {table}"
+
+
+def create_persistent_master_view(spark: SparkSession, tables: Sequence[str], name: str = "master_jobs") -> None:
+    """The clean master over the raw tables given, as a view stored in the catalog.
+
+    The view is SQL text over the tables' names: every session sees it, and it
+    follows the tables when they are loaded again.  The tables must be stored
+    in the catalog too (a view cannot be built on temporary ones).
+    """
+    if not tables:
+        raise ValueError("no source tables are present: nothing to union")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS " + " UNION ALL ".join(_master_sql(spark, t) for t in tables))
+
+
 def create_master_table(spark: SparkSession, df: DataFrame, name: str = "master_jobs") -> bool:
     """Create the table empty (schema only) unless it exists."""
     if spark.catalog.tableExists(name):

@@ -22,7 +22,8 @@ def _specs(spark, fail=False):
 def test_first_failure_stops_the_run(spark, tmpdir_path):
     with pytest.raises(RuntimeError):
         P.ingest(spark, _specs(spark, fail=True), tmpdir_path)
-    assert os.path.isdir(os.path.join(tmpdir_path, "raw", "ds_a"))
+    assert os.path.isdir(os.path.join(tmpdir_path, "raw", "ds_a"))  # staged, not published
+    assert not os.path.exists(os.path.join(tmpdir_path, "raw", "_published"))
     assert not os.path.exists(os.path.join(tmpdir_path, "raw", "ds_b"))
 
 
@@ -37,6 +38,9 @@ def test_run_batch_skip_models_and_marts(spark, tmpdir_path):
 
 
 def test_persist_point_uses_checkpoint_dir(spark):
+    from hirelake.session import checkpoint_root
     df = spark.range(5).withColumn("x", F.col("id") * 2)
     kept = P.persist_point(df, None)
-    assert kept.count() == 5 and "LogicalRDD" in kept._jdf.queryExecution().analyzed().toString()
+    assert kept.count() == 5 and sorted(r.x for r in kept.collect()) == [0, 2, 4, 6, 8]
+    files = kept.inputFiles()
+    assert files and all(f.split(":", 1)[-1].lstrip("/").startswith(checkpoint_root(spark).split(":", 1)[-1].lstrip("/")) for f in files)
