@@ -13,7 +13,8 @@ import sys
 from typing import Callable, Sequence
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
@@ -22,6 +23,7 @@ from hirelake.functions.vocab import ENRICH_BATCH
 # Task code of this module is shipped by value: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+LEDGER = "key binary, items array<string>"
 EnrichFn = Callable[[Sequence[tuple]], Sequence]
 
 
@@ -88,3 +90,44 @@ def title_terms_in_description(rows: Sequence[tuple]) -> list[list[str]]:
         words = (w.strip(".,;:!?()[]{}\"'") for w in (title or "").lower().split())
         out.append(list(dict.fromkeys(w for w in words if len(w) >= 3 and w in d)))
     return out
+
+
+def content_key(inputs: Sequence[str]) -> Column:
+    """256-bit digest of the inputs' values (nulls differ from every text)."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(inputs)]), {"ignoreNullFields": "false"}), 256))
+
+
+def read_ledger(spark, ledger: str) -> DataFrame:
+    """(key, items) of the calls that succeeded; of a key that was answered twice, one row."""
+    try:
+        rows = spark.read.schema(LEDGER).parquet(ledger)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], LEDGER)
+    return rows.groupBy("key").agg(F.min("items").alias("items"))
+
+
+def enrich_once(df: DataFrame, fn: EnrichFn, ledger: str, batch_size: int = ENRICH_BATCH,
+                inputs: Sequence[str] = ("job_title", "job_description"),
+                out: str = "skills_enriched", failed: str = "enrich_failed", rounds: int = 1) -> DataFrame:
+    """:func:`enrich`, with one call for each distinct input and a ledger of the answers.
+
+    ``ledger`` is a folder of Parquet rows (input digest, answer) that grows
+    with every run.  Only inputs that it does not hold are sent, each once
+    however many rows have it; failed groups are not recorded, so the next run
+    sends them again.  The new inputs go in ``rounds`` jobs, by a part of their
+    digest, and each job's answers are in the ledger when it ends: what a lost
+    executor can make the job send again is what that executor was sending, and
+    what a killed run leaves to its rerun is less than one round.
+    """
+    key, spark = "_enrich_key", df.sparkSession
+    keyed = df.withColumn(key, content_key(inputs))
+    for k in range(max(1, rounds)):
+        mine = keyed.where(F.pmod(F.xxhash64(key), F.lit(max(1, rounds))) == k)
+        new = (mine.select(key, *inputs).dropDuplicates([key]).join(read_ledger(spark, ledger), F.col(key) == F.col("key"), "left_anti"))
+        answers = enrich(new, fn, batch_size, inputs, "items", "bad")
+        answers.where(~F.col("bad")).select(F.col(key).alias("key"), "items").write.mode("append").parquet(ledger)
+    got = read_ledger(spark, ledger)
+    joined = keyed.join(got, F.col(key) == F.col("key"), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("items", F.array().cast("array<string>")).alias(out), F.col("key").isNull().alias(failed))

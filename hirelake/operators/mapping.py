@@ -7,6 +7,7 @@ is one narrow stage with no shuffle.
 """
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -20,6 +21,7 @@ from hirelake.functions.text import blank_to_null, trim_ws
 from hirelake.functions.vocab import (DEFAULT_DATE_DE_2023, DEFAULT_DATE_LINKEDIN_POSTINGS,
                                       DEFAULT_DATE_LINKEDIN_SKILLS, DE_EXACT_COLUMNS, DE_NORMALIZED_COLUMNS,
                                       RECENT_DAYS)
+from hirelake.operators.checks import judged
 from hirelake.operators.filters import is_data_domain, is_recent
 from hirelake.schema import conform
 
@@ -67,8 +69,15 @@ def linkedin_column_map(columns: Sequence[str], variant: str = "postings") -> di
     return {f: [c for g, c in placed if g == f] for f in dict.fromkeys(f for f, _ in placed if f)}
 
 
+def selected(mapped: DataFrame, conditions: dict[str, Column], judge: bool, defaulted: dict[str, Column] | None = None) -> DataFrame:
+    """The rows for which no condition is true; with ``judge`` all rows, with the names of the true ones (see ``operators.checks``)."""
+    if judge:
+        return judged(mapped, conditions, defaulted)
+    return mapped.where(reduce(lambda a, b: a & b, [~c for c in conditions.values()]))
+
+
 def map_linkedin(df: DataFrame, variant: str = "postings", as_of=None, ingested_at: Column | None = None,
-                 epoch_unit: str | None = None, days: int = RECENT_DAYS) -> DataFrame:
+                 epoch_unit: str | None = None, days: int = RECENT_DAYS, judge: bool = False) -> DataFrame:
     """LinkedIn-style rows -> canonical rows, recent and data-domain only.
 
     * posted date: the first date-like column, parsed; unparsable or absent ->
@@ -76,14 +85,14 @@ def map_linkedin(df: DataFrame, variant: str = "postings", as_of=None, ingested_
     * title / description: the last non-NULL mapped value, trimmed, blank -> NULL.
     * company / location / salary / url: the last non-NULL value, trimmed.
     * skills: split by the variant's rule ((b) for postings, (c) for skills).
+    * with ``judge`` all mapped rows, each with its reject reasons and whether its date is the default.
     """
     sid, sname = LINKEDIN_POSTINGS if variant == "postings" else LINKEDIN_SKILLS
     default = DEFAULT_DATE_LINKEDIN_POSTINGS if variant == "postings" else DEFAULT_DATE_LINKEDIN_SKILLS
     fields = linkedin_column_map(df.columns, variant)
     posted_cols = fields.get("posted_date", [])
-    posted = as_date_literal(default)
-    if posted_cols:
-        posted = F.coalesce(parse_date_general(_c(posted_cols[0]), epoch_unit), posted)
+    parsed = parse_date_general(_c(posted_cols[0]), epoch_unit) if posted_cols else F.lit(None).cast("date")
+    posted = F.coalesce(parsed, as_date_literal(default)) if posted_cols else as_date_literal(default)
     skills_raw = _last_non_null(fields.get("skills", []))
     rule = skill_list_bracketed if variant == "postings" else skill_list_separated
     trimmed = {f: trim_ws(_last_non_null(fields.get(f, [])))
@@ -99,10 +108,12 @@ def map_linkedin(df: DataFrame, variant: str = "postings", as_of=None, ingested_
         rule(skills_raw).alias("skills"),
         trimmed["salary_info"].alias("salary_info"),
         (ingested_at if ingested_at is not None else F.localtimestamp()).alias("ingested_at"),
+        *([parsed.isNull().alias("_undated")] if judge else []),
     )
-    kept = mapped.where(is_recent("posted_date", as_of, days)
-                        & is_data_domain("job_title", "job_description", "skills"))
-    return conform(kept, skills_as="keep")
+    kept = selected(mapped, {"not_recent": ~is_recent("posted_date", as_of, days),
+                             "not_data_domain": ~is_data_domain("job_title", "job_description", "skills")},
+                    judge, {"posted_date": F.col("_undated")})
+    return kept.drop("_undated") if judge else conform(kept, skills_as="keep")
 
 
 # =============================================================================
@@ -190,7 +201,7 @@ def python_float_text(c: Column) -> Column:
 
 
 def map_hf(df: DataFrame, as_of=None, extract_skills: bool = False, ingested_at: Column | None = None,
-           days: int = RECENT_DAYS, taxonomy=None) -> DataFrame:
+           days: int = RECENT_DAYS, taxonomy=None, judge: bool = False) -> DataFrame:
     """Hugging Face rows -> canonical rows, recent and data-domain only.
 
     The free-text ``job_type_skills`` becomes the description; ``job_skills``
@@ -222,8 +233,9 @@ def map_hf(df: DataFrame, as_of=None, extract_skills: bool = False, ingested_at:
         col("job_title_short").cast("string").alias("_short"),
     )
     # The domain test sees the given skills, before any taxonomy merge.
-    kept = mapped.where(is_recent("posted_date", as_of, days)
-                        & is_data_domain("job_title", "job_description", "_given", job_title_short="_short"))
+    kept = selected(mapped, {"no_date": F.col("posted_date").isNull() & F.lit(judge),
+                             "not_recent": ~is_recent("posted_date", as_of, days),
+                             "not_data_domain": ~is_data_domain("job_title", "job_description", "_given", job_title_short="_short")}, judge)
     if extract_skills:
         # Taxonomy hits become a column first, so the merge below refers to
         # them instead of repeating the whole extraction expression.
@@ -231,7 +243,7 @@ def map_hf(df: DataFrame, as_of=None, extract_skills: bool = False, ingested_at:
         kept = kept.withColumn("skills", merge_skills("_given", "_tax"))
     else:
         kept = kept.withColumn("skills", F.col("_given"))
-    return conform(kept, skills_as="keep")
+    return kept.drop("_given", "_short", "_tax") if judge else conform(kept, skills_as="keep")
 
 
 __all__ = ["linkedin_column_map", "map_linkedin", "de_column_map", "map_de_2023", "map_hf"]

@@ -2,11 +2,11 @@
 from __future__ import annotations
 
 from functools import reduce
-from typing import Iterable, Sequence
+from typing import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StringType, TimestampNTZType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from hirelake.functions.text import col_of
 
@@ -46,6 +46,46 @@ def raw_table_health(spark: SparkSession, tables: Sequence[str], database: str |
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose Parquet scan answers counts and extremes from the files' footers."""
+    s = spark.newSession()
+    v1 = [x for x in s.conf.get("spark.sql.sources.useV1SourceList").split(",") if x.strip() and x.strip() != "parquet"]
+    s.conf.set("spark.sql.sources.useV1SourceList", ",".join(v1))
+    s.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return s
+
+
+def stored_health(spark: SparkSession, paths: Mapping[str, str], ts_col: str = "ingested_at") -> DataFrame:
+    """:func:`raw_table_health` of stored Parquet tables, given as name -> path, without reading a row.
+
+    Count and latest time are pushed into the scan, which takes them from the
+    row groups' statistics.  That works for whole numbers but not for time
+    stamps, so a time stamp without zone, which Spark stores as microseconds,
+    is asked for as a number.  Times of other types are read.
+    """
+    reader = footer_session(spark)
+    parts = []
+    for name, path in paths.items():
+        try:
+            df, latest = reader.read.parquet(path), F.max(ts_col)
+            if ts_col in df.columns and df.schema[ts_col].dataType == TimestampNTZType():
+                whole = [StructField(f.name, LongType() if f.name == ts_col else f.dataType) for f in df.schema.fields]  # the scan goes by place
+                df = reader.read.schema(StructType(whole)).parquet(path)
+                latest = F.timestamp_add("MICROSECOND", latest, F.lit("1970-01-01 00:00:00").cast(TimestampNTZType()))
+            got = df.agg(F.count(F.lit(1)).alias("row_count"), latest.alias("last_ingested"))
+        except AnalysisException as e:
+            why = "not_found" if e.getCondition() == "PATH_NOT_FOUND" else e.getCondition() or "unreadable"
+            got = reader.range(1).select(F.lit(None).cast(LongType()).alias("row_count"), F.lit(None).alias("last_ingested"), F.lit(why).alias("error"))
+        error = F.col("error").cast(StringType()) if "error" in got.columns else F.lit(None).cast(StringType())
+        # files without a row group give no count, though the planner holds a count to be never null
+        rows = F.when(error.isNull(), F.greatest("row_count", F.lit(0)))
+        parts.append(got.select(F.lit(name).alias("table_name"), rows.cast(LongType()).alias("row_count"),
+                                F.col("last_ingested").cast(TimestampNTZType()).alias("last_ingested"), error.alias("error")))
+    if not parts:
+        raise ValueError("no tables to check")
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def quality_gate(health: DataFrame, as_of, max_age_hours: float | None = None,
                  ignore_stale: bool = False, optional: Iterable[str] = OPTIONAL_RAW) -> DataFrame:
     """Failures of the strict gate, one row each: (table_name, failure, age_hours).
