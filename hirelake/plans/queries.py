@@ -104,17 +104,13 @@ def q_stg_all_sources(spark, sf_dir):
     return canon_out(S.union_all(raw_list(spark, sf_dir)))
 
 
-@query("bronze_passthrough", with_raw("""
-SELECT 'brz_orders' AS bronze_model, CAST(count(*) AS BIGINT) AS row_count FROM raw_orders_k
-UNION ALL SELECT 'brz_events', count(*) FROM raw_events_k
-UNION ALL SELECT 'brz_documents', count(*) FROM raw_documents_k
-UNION ALL SELECT 'brz_pages', count(*) FROM raw_pages_k"""))
+@query("bronze_passthrough", with_raw(" UNION ALL ".join(f"SELECT 'brz_{t}' AS bronze_model, {CANON_OUT} FROM raw_{t}_k"
+                                                         for t in ("orders", "events", "documents", "pages"))))
 def q_bronze_passthrough(spark, sf_dir):
     from hirelake.sources.catalog import bronze_models
     A.register_raw_views(spark, sf_dir)
     models = bronze_models(spark, A.RAW_TABLES)
-    parts = [df.agg(F.lit(name).alias("bronze_model"), F.count(F.lit(1)).alias("row_count"))
-             for name, df in models.items()]
+    parts = [canon_out(df, extra=(F.lit(name).alias("bronze_model"),)) for name, df in models.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -762,17 +758,14 @@ def q_map_linkedin_skills(spark, sf_dir):
 
 @query("ingest_csv_roundtrip", _linkedin_sql())
 def q_ingest_csv_roundtrip(spark, sf_dir):
-    """Write the LinkedIn-shaped rows as a real multi-line CSV file, then run
-    the file path: scan -> header map -> mapping -> filters."""
+    """Write the LinkedIn-shaped rows as real multi-line CSV files, then run
+    the file path: scan of the folder -> header map -> mapping -> filters."""
     from hirelake.operators.mapping import map_linkedin
     from hirelake.session import scratch_path
-    from hirelake.sources.files import pick_input_file, read_csv_source
+    from hirelake.sources.files import read_csv_source
     folder = scratch_path(spark, "linkedin_csv")
     A.linkedin_like(spark, sf_dir).write.option("header", True).option("escape", '"').csv(folder)
-    path = pick_input_file(spark, folder, "largest")
-    whole = read_csv_source(spark, folder)
-    assert path.endswith(".csv")
-    m = map_linkedin(whole, "postings", as_of=INGEST_AS_OF, ingested_at=_ingest_ts())
+    m = map_linkedin(read_csv_source(spark, folder), "postings", as_of=INGEST_AS_OF, ingested_at=_ingest_ts())
     return _mapped_out(m)
 
 
@@ -932,11 +925,11 @@ def q_csv_export_roundtrip(spark, sf_dir):
                        F.col("source_count").cast("long").alias("source_count"))
 
 
-@query("master_modes", with_raw("""
-SELECT 'view' AS master_mode, source_id, CAST(count(*) AS BIGINT) AS row_count FROM master_clean GROUP BY 2
-UNION ALL SELECT 'refreshed', source_id, CAST(count(*) AS BIGINT) FROM master_clean GROUP BY 2"""))
+@query("master_modes", with_raw(f"""
+SELECT 'view' AS master_mode, {CANON_OUT}, is_complete FROM master_clean
+UNION ALL SELECT 'refreshed', {CANON_OUT}, is_complete FROM master_clean"""))
 def q_master_modes(spark, sf_dir):
-    """The master as a view, as an empty table (no rows to count) and as a refreshed one."""
+    """The master as a view, as an empty table (it adds no rows) and as a refreshed one."""
     import uuid
     from hirelake.sources import sinks
     rows = M.master_clean(raw_list(spark, sf_dir))
@@ -945,8 +938,7 @@ def q_master_modes(spark, sf_dir):
     for m in ("empty", "refreshed"):
         sinks.create_master_table(spark, rows, names[m])
     sinks.refresh_master_table(spark, rows, names["refreshed"])
-    parts = [spark.table(n).groupBy("source_id").agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(m).alias("master_mode"), "source_id", "row_count") for m, n in names.items()]
+    parts = [canon_out(spark.table(n), extra=("is_complete", F.lit(m).alias("master_mode"))) for m, n in names.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -1045,3 +1037,6 @@ def q_batch_pipeline(spark, sf_dir):
     base = scratch_path(spark, "batch")
     marts = run_batch(spark, batch_sources(sf_dir), base, out=f"{base}/marts", table_root=f"{base}/tables")
     return marts.skill_demand
+
+
+from hirelake.plans import lake_queries  # noqa: E402,F401 - registers its queries
