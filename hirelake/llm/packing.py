@@ -100,6 +100,17 @@ class WordTokenizer:
         return b"".join([*map(cache.__getitem__, parts), self.end])
 
 
+#: The tokenizers that a Python worker has loaded; their bounded caches serve all of its tasks.
+LOADED: dict[tuple[str, int], WordTokenizer] = {}
+
+
+def loaded(path: str, end_id: int) -> WordTokenizer:
+    if (path, end_id) not in LOADED:
+        LOADED.clear()
+        LOADED[path, end_id] = WordTokenizer(path, end_id)
+    return LOADED[path, end_id]
+
+
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, part, before, ids): ids of every document, ``before`` counts the tokens before it in its partition."""
     from pyspark.sql.types import StructField, StructType
@@ -113,7 +124,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str
 
         tok, part, before = None, TaskContext.get().partitionId(), 0
         for batch in batches:
-            tok = tok or WordTokenizer(tokenizer, end_id)
+            tok = tok or loaded(tokenizer, end_id)
             lo, texts, size = 0, [], 0
             for i in range(batch.num_rows):
                 t = batch.column(1)[i].as_py()
