@@ -5,7 +5,7 @@ plan and its cost grow with the taxonomy.  Here a text is cut into its words
 (runs of word characters, as a regular expression's word boundary sees them)
 and what lies between them; a pattern occurs as a whole word exactly where a run
 of whole words, with the text between them, equals its core (from its first word
-to its last).  So an equi-join of the distinct n-grams of a text with the terms
+to its last).  So an equi-join of the n-grams of a text with the terms
 finds all occurrences at once, whatever the number of terms, and Spark
 broadcasts the terms only while they are small.
 """
@@ -45,7 +45,7 @@ def term_keys(terms: DataFrame) -> DataFrame:
 
 
 def _ngrams(words: Column, gaps: Column, sizes: list[int]) -> Column:
-    """The distinct (core, before, after) of all n-grams of the given sizes; a gap at the text's edge counts as null."""
+    """(core, before, after) of all n-grams of the given sizes; a gap at the text's edge counts as null."""
     def of(n):
         last = F.size(words) - n
         starts = F.when(last >= 0, F.sequence(F.lit(0), last))
@@ -55,7 +55,8 @@ def _ngrams(words: Column, gaps: Column, sizes: list[int]) -> Column:
             return F.struct(F.concat(*parts).alias("core"), F.when(i > 0, F.get(gaps, i)).alias("before"),
                             F.when(i < last, F.get(gaps, i + n)).alias("after"))
         return F.transform(F.coalesce(starts, F.array().cast("array<int>")), gram)
-    return F.array_distinct(F.flatten(F.array(*[of(n) for n in sizes])))
+    # repeats are left to the join's result: distinct structs of one array are found by comparing all with all
+    return F.flatten(F.array(*[of(n) for n in sizes]))
 
 
 def taxonomy_matches(df: DataFrame, key: str, terms: DataFrame, title="job_title", description="job_description") -> DataFrame:
