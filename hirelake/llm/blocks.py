@@ -91,6 +91,19 @@ def pack(docs: DataFrame, id_col: str, text_col: str, flag: Column, level: int =
     return written(src.mapInArrow(run, schema), "blocks")
 
 
+def flagged(packed: DataFrame, chosen: DataFrame, field: str) -> DataFrame:
+    """The blocks, with those documents flagged whose id has a value of ``chosen``
+    (one column without repeats) in its ``field``.
+
+    The ids alone are shuffled; their flags, a byte for each document, join the blocks.
+    """
+    at = packed.select("block", F.posexplode("ids").alias("at", "id")).select("block", "at", F.col("id").getField(field).alias("value"))
+    marked = at.join(chosen.toDF("chosen"), F.col("value") == F.col("chosen"), "left").select("block", "at", F.col("chosen").isNotNull().alias("f"))
+    flags = F.transform(F.array_sort(F.collect_list(F.struct("at", "f"))), lambda x: F.when(x.f, "01").otherwise("00"))
+    found = written(marked.groupBy("block").agg(F.unhex(F.array_join(flags, "")).alias("flags"), F.count_if("f").alias("n_flagged")), "flags")
+    return packed.drop("flags", "n_flagged").join(found, "block").select(packed.columns)
+
+
 def unpacked(lens: bytes, payload: bytes) -> list[bytes]:
     import zstandard
     raw = zstandard.ZstdDecompressor().decompress(payload)

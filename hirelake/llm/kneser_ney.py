@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hirelake.llm import bytegrams as bg
-from hirelake.llm.blocks import ngram_scores, pack
+from hirelake.llm.blocks import flagged, ngram_scores, pack
 from hirelake.llm.common import crc_mod, read, written
 
 DEPTH = 4
@@ -47,22 +47,31 @@ def kn_shard(depth: int):
     return build
 
 
-def perplexities(docs: DataFrame, trusted: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
-    """(id, ``flag``, ``n_bytes``, ``perplexity`` of a byte, end included) of every document."""
-    scores, _ = ngram_scores(pack(docs, id_col, text_col, trusted, level=12, block_bytes=12 << 20), depth, continuation_sums(depth), kn_shard(depth))
+def packed_texts(docs: DataFrame, flag: Column, id_col: str, text_col: str) -> DataFrame:
+    return pack(docs, id_col, text_col, flag, level=12, block_bytes=12 << 20)
+
+
+def block_perplexities(packed: DataFrame, id_col: str, depth: int) -> DataFrame:
+    """(id, ``flag``, ``n_bytes``, ``perplexity``) under a model of the blocks' flagged documents."""
+    scores, _ = ngram_scores(packed, depth, continuation_sums(depth), kn_shard(depth))
     return scores.select(F.col("id").alias(id_col), "flag", "n_bytes",
                          F.pow(F.lit(10.0), -F.col("score") / (F.col("n_bytes") + 1)).alias("perplexity"))
 
 
+def perplexities(docs: DataFrame, trusted: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
+    """(id, ``flag``, ``n_bytes``, ``perplexity`` of a byte, end included) of every document."""
+    return block_perplexities(packed_texts(docs, trusted, id_col, text_col), id_col, depth)
+
+
 def quality(docs: DataFrame, labels: DataFrame, low: float = 0.002, high: float = 0.99, slack: float = 1.25, folds: int = 5,
-            max_trusted: int = 50_000, id_col: str = "doc_id",
+            max_trusted: int | None = None, id_col: str = "doc_id",
             text_col: str = "text", lang_col: str = "lang", depth: int = DEPTH) -> DataFrame:
     """One row per document row: id, lang, ``n_bytes``, ``perplexity``, ``low``, ``high``, ``keep``.
 
     Trusted: labels with quality 1 and toxic 0.  Fold 0 (crc32 of the id modulo
     ``folds``) of them, all of it, sets the quantiles ``low`` and ``high`` of its
-    language; of the others at most ``max_trusted`` train the model (those of
-    least hashed id; 8 bytes each, so they can be broadcast).  The band is widened by the factor ``slack`` on
+    language; all the others train the model (with ``max_trusted``, those of
+    least hashed id up to that number).  The band is widened by the factor ``slack`` on
     either side, so that clean documents just beyond a quantile (or beyond few
     held-out ones) stay.  A language without held-out trusted documents
     (null is a language of its own) uses the quantiles over all languages; with
@@ -72,13 +81,14 @@ def quality(docs: DataFrame, labels: DataFrame, low: float = 0.002, high: float
     """
     good = (labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull())
             .select(F.col("doc_id").alias("__llm_good")).distinct())
-    training = good.where(crc_mod("__llm_good", folds) != 0).orderBy(F.xxhash64("__llm_good"), "__llm_good").limit(max_trusted)
-    keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    training = good.where(crc_mod("__llm_good", folds) != 0)
+    if max_trusted is not None:
+        training = training.orderBy(F.xxhash64("__llm_good"), "__llm_good").limit(max_trusted)
     # ids and languages ride together through the blocks as one key
-    rows = (keyed.join(F.broadcast(training), F.col("doc_id") == F.col("__llm_good"), "left")
-            .withColumn("__llm_key", F.struct("doc_id", "lang", F.col("__llm_good").isNotNull().alias("trains"))))
-    scored = written(perplexities(rows.select("__llm_key", "text"), F.col("__llm_key.trains"), "__llm_key", "text", depth)
-                     .select("__llm_key.*", "n_bytes", "perplexity"), "perplexity")
+    rows = docs.select(F.struct(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang")).alias("__llm_key"), F.col(text_col).alias("text"))
+    # the texts are packed before the labels meet their ids, so no text is shuffled for that
+    packed = flagged(packed_texts(rows, F.lit(False), "__llm_key", "text"), training, "doc_id")
+    scored = written(block_perplexities(packed, "__llm_key", depth).select("__llm_key.*", "n_bytes", "perplexity"), "perplexity")
     # the texts are gone by now, so all held-out labels can be joined
     held = written(scored.where(crc_mod("doc_id", folds) == 0)
                    .join(good, F.col("doc_id") == F.col("__llm_good"), "left_semi").select("lang", "perplexity"), "held")

@@ -154,6 +154,19 @@ def test_quality_thresholds_use_all_held_out_labels(spark):
         assert low * 1.25 == pytest.approx(min(held)) and high / 1.25 == pytest.approx(max(held))
 
 
+def test_quality_trains_on_all_trusted_documents(spark):
+    """More of them than 50,000; two documents share an id, and one has none."""
+    n = 66_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.concat(F.lit("ab"), F.pmod(F.xxhash64("id"), F.lit(29)).cast("string")).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(1, "en", "zz"), (None, None, "ab7")], "doc_id long, lang string, text string"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    got = kneser_ney.quality(docs, labels).groupBy("doc_id", "n_bytes").agg(F.max("perplexity").alias("p"))
+    want = kneser_ney.perplexities(docs, (crc_mod("doc_id", 5) != 0) & F.col("doc_id").isNotNull()).groupBy("doc_id", "n_bytes").agg(F.max("perplexity").alias("q"))
+    both = got.join(want, got.doc_id.eqNullSafe(want.doc_id) & (got.n_bytes == want.n_bytes))
+    assert got.count() == both.count() == n + 2 - (got.where("doc_id = 1").count() == 1)
+    assert both.where(F.abs(F.col("p") / F.col("q") - 1) > 1e-9).count() == 0
+
+
 def test_language(spark):
     words = {"en": "the and of people with that house water".split(), "de": "der und die nicht wasser haus über schön".split()}
     rng = np.random.default_rng(1)
