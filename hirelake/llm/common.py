@@ -1,6 +1,8 @@
 """Helpers shared by the operators: scratch tables, table reading, keyed streams, text blocks."""
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hirelake.session import scratch_path
@@ -32,6 +34,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Jobs run inside hand Python at most ``rows`` rows at a time: a batch is held by the JVM and by the worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(key))
+    spark.conf.set(key, min(before, rows) if before > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_bytes(col: str | Column = "text") -> Column:
     """The UTF-8 bytes of a text column; null counts as empty."""
     c = F.col(col) if isinstance(col, str) else col

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from hirelake.llm.common import arrow_schema, read, text_bytes, written
+from hirelake.llm.common import arrow_schema, read, small_batches, text_bytes, written
 
 LENGTH = 4096
 END_ID = 2
 #: Bytes of words and ids that a task remembers (with about ENTRY more for each entry), and of one batch that it returns.
-CACHE_BYTES, ENTRY, EMIT_BYTES = 48 << 20, 160, 4 << 20
+CACHE_BYTES, ENTRY, EMIT_BYTES = 32 << 20, 160, 4 << 20
 TAIL = ".,;:!?*%$&#)"
 
 
@@ -143,7 +143,8 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str
                     lo, texts, size = i + 1, [], 0
 
     src = docs.select(F.col(f"`{id_col}`").alias("id"), text_bytes(F.col(f"`{text_col}`")).alias("text"))
-    return written(src.mapInArrow(run, schema), "tokens")
+    with small_batches(docs.sparkSession):
+        return written(src.mapInArrow(run, schema), "tokens")
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, end_id: int = END_ID,

@@ -236,3 +236,14 @@ def test_pipeline_stages(spark):
     assert pieces.agg(F.sum("length")).first()[0] > 0
     ran = corpus_pipeline.run(spark, SF)
     assert ran.columns == pieces.columns and ran.select("doc_id").distinct().count() == before.select("doc_id").distinct().count()
+
+
+def test_packing_hands_python_small_batches(spark, monkeypatch):
+    """Texts go to the tokenizer at most 1,000 at a time, and the session's own setting comes back."""
+    from hirelake.llm import packing
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, real = spark.conf.get(key), [], packing.written
+    monkeypatch.setattr(packing, "written", lambda df, name: seen.append(int(spark.conf.get(key))) or real(df, name))
+    docs = spark.range(2500).selectExpr("id as doc_id", "concat('word ', id) as text")
+    assert packing.tokenized(docs, packing.default_tokenizer()).count() == 2500
+    assert seen == [1000] and spark.conf.get(key) == before
