@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType
 
-from hirelake.functions.text import blank_to_null, col_of, trim_ws
+from hirelake.functions.text import blank_to_null, col_of, once, trim_ws
 from hirelake.functions.vocab import SKILL_ALIASES, SKILL_PATTERNS
 
 def empty_list() -> Column:
@@ -36,8 +36,7 @@ def clean_list(arr) -> Column:
 def json_scalar_array(text) -> Column:
     """Parse JSON-array text to ``array<string>``; NULL unless it is a strict
     array of scalars.  Numbers and booleans become their JSON text."""
-    t = trim_ws(text)
-    return F.when(t.rlike(JSON_SCALAR_ARRAY), F.from_json(t, ArrayType(StringType())))
+    return once(trim_ws(text), lambda t: F.when(t.rlike(JSON_SCALAR_ARRAY), F.from_json(t, ArrayType(StringType()))))
 
 
 def normalize_skills(c, dtype: DataType | None = None) -> Column:
@@ -234,13 +233,15 @@ _FENCE_CLOSE = r"\n[ \t\r\f\x0b]*+```[ \t\r\f\x0b]*+$"
 def _reply_item(x) -> Column:
     """Text of one item of a reply, NULL for the falsy ones: null, false, zero, '', {} and [].
     True is 'True'; objects and lists are their JSON text."""
-    kind, text = F.schema_of_variant(x), x.cast("string")
-    number = kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE", "FLOAT")
-    return (F.when(kind == "VOID", F.lit(None))
-             .when(kind == "BOOLEAN", F.when(text == "true", "True"))
-             .when(number, F.when(text.try_cast("double") != 0, text))
-             .when(kind != "STRING", F.when(~text.isin("{}", "[]"), text))
-             .otherwise(text))
+    def plain(kind, text):
+        number = kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE", "FLOAT")
+        return (F.when(kind == "STRING", text)
+                 .when(kind == "VOID", F.lit(None))
+                 .when(kind == "BOOLEAN", F.when(text == "true", "True"))
+                 .when(number, F.when(text.try_cast("double") != 0, text))
+                 .otherwise(F.when(~text.isin("{}", "[]"), text)))
+
+    return once(F.struct(F.schema_of_variant(x).alias("kind"), x.cast("string").alias("text")), lambda v: plain(v["kind"], v["text"]))
 
 
 def json_items(text) -> Column:
@@ -249,11 +250,15 @@ def json_items(text) -> Column:
     The JSON reader stops behind the first value, so the text is read inside an
     array and inside an object: text after it is an error in one of the two.
     """
-    t = trim_ws(text)
-    outer = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))).cast("array<variant>")
-    inside = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
-    ok = t.startswith("[") & inside.isNotNull() & (F.size(outer) == 1)
-    return F.when(ok, outer[0].cast("array<variant>"))
+    def whole(t, outer):
+        inside = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
+        return F.when((F.size(outer) == 1) & inside.isNotNull(), outer[0].cast("array<variant>"))
+
+    def items(t):
+        outer = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))).cast("array<variant>")
+        return F.when(t.startswith("["), once(outer, lambda o: whole(t, o)))
+
+    return once(trim_ws(text), items)
 
 
 def parse_response_skills(c) -> Column:
@@ -262,8 +267,6 @@ def parse_response_skills(c) -> Column:
     The reply is trimmed; a leading markdown fence line is dropped, and so is
     a closing fence line; the rest must be a JSON array, else [].  Falsy items
     are dropped, the others become text (see ``_reply_item``)."""
-    s = trim_ws(c)
-    fenced = s.startswith("```")
-    body = F.when(fenced, F.regexp_replace(F.regexp_replace(s, _FENCE_CLOSE, ""), _FENCE_OPEN, "")) \
-        .otherwise(s)
+    body = once(trim_ws(c), lambda s: F.when(s.startswith("```"), F.regexp_replace(F.regexp_replace(s, _FENCE_CLOSE, ""), _FENCE_OPEN, ""))
+                .otherwise(s))
     return F.coalesce(clean_list(F.transform(json_items(body), _reply_item)), empty_list())

@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hirelake.functions.dates import as_date_literal, cutoff
-from hirelake.functions.text import col_of, not_blank, trim_ws
+from hirelake.functions.text import col_of, not_blank, once, trim_ws
 from hirelake.functions.vocab import DOMAIN_JOB_TITLES, DOMAIN_KEYWORDS, RECENT_DAYS
 
 
@@ -29,12 +29,24 @@ def domain_text(title="job_title", description="job_description", skills=None) -
     The skills array is passed straight to ``concat_ws`` so an empty list adds
     nothing (a nested join would leave a trailing space behind).
     """
-    parts = [F.nullif(col_of(title), F.lit("")), F.nullif(col_of(description), F.lit(""))]
+    parts = [F.filter(F.array(col_of(title), col_of(description)), lambda x: x != F.lit(""))]
     if skills is not None:
         parts.append(col_of(skills))
     return F.lower(F.concat_ws(" ", *parts))
 
 
+def any_substring(text: Column, words: list[str]) -> Column:
+    """Whether any of the words occurs; those that begin alike are only looked for where their first part occurs."""
+    groups: dict[str, list[str]] = {}
+    for w in words:
+        groups.setdefault(w[:w.find(" ") + 1] or w, []).append(w)
+    tests = []
+    for first, members in groups.items():
+        hits = reduce(lambda a, b: a | b, [text.contains(w) for w in members])
+        tests.append(text.contains(first) & hits if len(members) > 1 else hits)
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
 def is_data_domain(title="job_title", description="job_description", skills=None,
                    job_title_short=None, keywords=None, titles=None) -> Column:
     """Exact short title in the list, or any keyword as a substring of the text."""
@@ -44,7 +56,7 @@ def is_data_domain(title="job_title", description="job_description", skills=None
     # Byte-level substring tests on the UTF-8 text.  (One regex alternation
     # over the same text measured slower: it converts every text to a Java
     # string and tries each alternative at every position.)
-    by_kw = reduce(lambda a, b: a | b, [text.contains(k.lower()) for k in keywords], F.lit(False))
+    by_kw = once(text, lambda t: any_substring(t, [k.lower() for k in keywords]))
     result = by_kw
     if job_title_short is not None and titles:
         by_title = F.coalesce(trim_ws(job_title_short).isin(list(titles)), F.lit(False))

@@ -526,12 +526,12 @@ def _responses(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("c:"), F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string"))
         .alias("reply_id"), F.col("text").alias("reply"))
     o = A.raw_tables(spark, sf_dir, with_key=True)["raw_orders"].select("row_key", "skills")
-    bare = o.select(F.concat(F.col("row_key"), F.lit(":bare")).alias("reply_id"), F.col("skills").alias("reply"))
-    fenced = o.select(F.concat(F.col("row_key"), F.lit(":fenced")).alias("reply_id"),
-                      F.concat(F.lit("```json\n"), F.col("skills"), F.lit("\n```")).alias("reply"))
-    mixed = o.select(F.concat(F.col("row_key"), F.lit(":mixed")).alias("reply_id"),
-                     F.concat(F.lit('["Go", {"in":'), F.col("skills"), F.lit('}, 0, false, true, [], 7]')).alias("reply"))
-    return conv.unionByName(bare).unionByName(fenced).unionByName(mixed)
+    forms = {"bare": F.col("skills"), "fenced": F.concat(F.lit("```json\n"), F.col("skills"), F.lit("\n```")),
+             "mixed": F.concat(F.lit('["Go", {"in":'), F.col("skills"), F.lit('}, 0, false, true, [], 7]'))}
+    # all forms of an order in one pass over the joined orders
+    replies = o.select(F.explode(F.array(*[F.struct(F.concat(F.col("row_key"), F.lit(f":{n}")).alias("reply_id"), c.alias("reply"))
+                                           for n, c in forms.items()])).alias("r")).select("r.*")
+    return conv.unionByName(replies)
 
 
 def _fence_sql(x: str) -> str:
