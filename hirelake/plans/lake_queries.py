@@ -263,8 +263,10 @@ FROM (SELECT row_key, lower(coalesce(job_description, '')) AS d, list_transform(
 def q_enrich_ledger(spark, sf_dir):
     """Enrichment with one call a distinct text: half of the rows first, then all of them with the same ledger."""
     from hirelake.operators.enrich import enrich_once, title_terms_in_description
+    from hirelake.plans.pipeline import persist_point
     ledger = scratch_path(spark, "ledger")
     s = std_k(spark, sf_dir).select("row_key", "job_title", "job_description")
+    s = persist_point(s, scratch_path(spark, "to_enrich"))  # read four times
     enrich_once(s.where(F.pmod(F.xxhash64("row_key"), F.lit(2)) == 0), title_terms_in_description, ledger, batch_size=10)
     e = enrich_once(s, title_terms_in_description, ledger, batch_size=10, rounds=2)
     return e.select("row_key", SK.skills_text("skills_enriched").alias("skills_enriched"), "enrich_failed")
