@@ -247,3 +247,45 @@ def test_packing_hands_python_small_batches(spark, monkeypatch):
     docs = spark.range(2500).selectExpr("id as doc_id", "concat('word ', id) as text")
     assert packing.tokenized(docs, packing.default_tokenizer()).count() == 2500
     assert seen == [1000] and spark.conf.get(key) == before
+
+
+def test_packing_cuts_without_python(spark):
+    """The ids, once written, go through Python no more: a batch of them may be 64 MB there and in the JVM."""
+    docs = spark.range(5).selectExpr("id as doc_id", "repeat('word ', 3000) as text")
+    pieces = packing.pack(docs)
+    plan = pieces._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert pieces.schema.simpleString() == ("struct<doc_id:bigint,start:bigint,length:bigint,ids:binary,ids_crc32:bigint,doc_tokens:bigint,"
+                                            "sequence_id:bigint,offset:bigint>")
+
+
+def test_tokenizer_asks_once_for_a_word_of_many_blocks():
+    """Words in use stay remembered while new ones come, more than the tables hold."""
+    import pyarrow as pa
+    tok = packing.WordTokenizer(packing.default_tokenizer(), 2)
+    asked, real = [], tok._words
+    tok._words = lambda words: asked.extend(words) or real(words)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    def word(k):
+        return "".join(letters[k // 26 ** e % 26] for e in range(5)) + "q"
+    for block in range(60):
+        fresh = " ".join(word(5000 * block + k) for k in range(5000))
+        got = tok.ids(pa.array([f"Often, {fresh} OFTEN. \u00c9t\u00e9!".encode(), b""], pa.binary())).to_pylist()
+        assert got[1] == np.uint32(2).tobytes()
+    assert asked.count("often") == asked.count("\u00e9t\u00e9") == 1 and len(asked) == 60 * 5000 + 2
+    assert len(tok.new) + len(tok.old) < 60 * 5000
+    assert np.frombuffer(got[0], "<u4").tolist() == tok.tok.encode(f"Often, {fresh} OFTEN. \u00c9t\u00e9!", add_special_tokens=False).ids + [2]
+
+
+def test_tokenizer_equals_its_library_on_odd_texts():
+    import random
+
+    import pyarrow as pa
+    tok = packing.WordTokenizer(packing.default_tokenizer(), 2)
+    rnd = random.Random(2)
+    signs = "aAzZ \u00e9\u00c9\u00e8\u00df\u1e9e\u017f\u212a\u00c5\u0130\u0131\u01c5'\u2019.,;:!?*%$&#)(09\u03a3\u03c3\u0301\u0307\u0331H\u00a0\u3000\u00aa\u0149\u4e2d\ufb01\t\n\x1c\x85s"
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 12))) + rnd.choice(["", "", "", "<|endoftext|>", "<|ENDOFTEXT|> x"]) for _ in range(5000)]
+    got = tok.ids(pa.array([t.encode() for t in ["first", *texts]], pa.binary()).slice(1)).to_pylist()
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tok.tok.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert tok.ids(pa.array([b"ab\xff cd", b"ab"], pa.binary())).to_pylist()[0] == tok.ids(pa.array(["ab\ufffd cd".encode()], pa.binary())).to_pylist()[0]
+    assert len(tok.ids(pa.array([], pa.binary()))) == 0
