@@ -13,15 +13,16 @@ from hirelake.functions.text import blank_to_null, col_of, trim_ws
 
 def dedup_key(source_id="source_id", job_url="job_url", job_title="job_title",
               company_name="company_name", posted_date="posted_date",
-              location="location") -> Column:
-    sep = F.lit("#")
+              location="location", standard: bool = False) -> Column:
+    """``standard`` parts are trimmed already, and null where blank."""
+    sep, blank, trim = F.lit("#"), (col_of if standard else blank_to_null), (col_of if standard else trim_ws)
     return F.concat(
         col_of(source_id).cast("string"), sep,
-        F.coalesce(blank_to_null(job_url), F.lit("_nourl_")), sep,
-        F.coalesce(trim_ws(job_title), F.lit("")), sep,
-        F.coalesce(trim_ws(company_name), F.lit("")), sep,
+        F.coalesce(blank(job_url), F.lit("_nourl_")), sep,
+        F.coalesce(trim(job_title), F.lit("")), sep,
+        F.coalesce(trim(company_name), F.lit("")), sep,
         col_of(posted_date).cast("string"), sep,
-        F.coalesce(trim_ws(location), F.lit("")),
+        F.coalesce(trim(location), F.lit("")),
     )
 
 

@@ -68,8 +68,8 @@ def standardize(df: DataFrame, keep=()) -> DataFrame:
     )
 
 
-def with_dedup_key(df: DataFrame) -> DataFrame:
-    return (df.withColumn("_dedup_key", dedup_key())
+def with_dedup_key(df: DataFrame, standard: bool = False) -> DataFrame:
+    return (df.withColumn("_dedup_key", dedup_key(standard=standard))
               .withColumn("_dedup_fingerprint", fingerprint("_dedup_key")))
 
 
@@ -111,9 +111,28 @@ def deduplicate(df: DataFrame, keep_key: bool = False, tie_breakers=()) -> DataF
 NARROW = ("source_id", "posted_date", "job_url", "job_url_normalized", "skills_normalized", "ingested_at")
 
 
-def deduplicate_late(df: DataFrame, locator=LOCATOR, tie_breakers=(), carry=NARROW) -> tuple[DataFrame, DataFrame]:
+def ranking_keys(df: DataFrame, locator=LOCATOR, tie_breakers=(), carry=NARROW, standard: bool = False) -> DataFrame:
+    """What ranks the rows of ``df`` without their texts, and the ``carry`` columns.
+
+    Texts of ``standard`` rows are not trimmed once more.  That also keeps the
+    generated method below the 8000 bytes beyond which the JVM only interprets it.
+    """
+    ties = [c for c in (*TIE_COLUMNS, *tie_breakers) if c in df.columns]
+    names = list(dict.fromkeys([*locator, "source_id", "ingested_at", "job_url", *carry]))
+    flags = {f"_has_{x}": F.col(f"job_{x}").isNotNull() if standard else has_text(f"job_{x}") for x in ("title", "description")}
+    return with_dedup_key(df, standard).select(
+        *names, F.md5(F.col("_dedup_key").cast("binary")).alias("_dedup_group"), "_dedup_fingerprint", row_digest(df, ties).alias("_dedup_tie"),
+        *[c.alias(n) for n, c in flags.items()])
+
+
+def deduplicate_late(df: DataFrame, locator=LOCATOR, tie_breakers=(), carry=NARROW, make=None) -> tuple[DataFrame, DataFrame]:
     """The rows of :func:`deduplicate`, twice: their narrow columns, and whole.
 
+    ``make`` turns the rows of ``df`` into standard ones (:func:`standardize`),
+    one by one, and keeps the locator.  It is applied to all rows for the
+    columns that ranking and ``carry`` take, and whole to those that stay,
+    behind the join: losers are neither parsed nor trimmed again.
+
     Rows are ranked without their texts: the key's digest, load time, tie
     digest and the ``locator``, which must name a row and be the same whenever
     ``df`` is read again.  The narrow winners (``carry``, the text flags and the
@@ -124,19 +143,16 @@ def deduplicate_late(df: DataFrame, locator=LOCATOR, tie_breakers=(), carry=NARR
     """
     from hirelake.session import scratch_path
 
-    spark = df.sparkSession
+    spark, made = df.sparkSession, df if make is None else make(df)
 
     def written(rows: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, name)
         rows.write.parquet(path)
         return spark.read.schema(rows.schema).parquet(path)
 
-    ties = [c for c in (*TIE_COLUMNS, *tie_breakers) if c in df.columns]
-    names = list(dict.fromkeys([*locator, "source_id", "ingested_at", "job_url", *carry]))
-    keys = written(with_dedup_key(df).select(
-        *names, F.md5(F.col("_dedup_key").cast("binary")).alias("_dedup_group"), "_dedup_fingerprint", row_digest(df, ties).alias("_dedup_tie"),
-        has_text("job_title").alias("_has_title"), has_text("job_description").alias("_has_description")), "dedup_keys")
-    w = Window.partitionBy("source_id", "_dedup_group").orderBy(
+    keys = written(ranking_keys(made, locator, tie_breakers, carry, standard=make is not None), "dedup_keys")
+    # the digest first: it tells rows apart in the first bytes that a sort compares
+    w = Window.partitionBy("_dedup_group", "source_id").orderBy(
         F.col("ingested_at").desc_nulls_last(), F.col("job_url").asc_nulls_last(), F.col("_dedup_tie").asc(), *locator)
     winners = written(keys.withColumn("_dedup_rank", F.row_number().over(w)).where(F.col("_dedup_rank") == 1)
                       .drop("_dedup_rank", "_dedup_group", "_dedup_tie"), "dedup_winners")
@@ -145,7 +161,8 @@ def deduplicate_late(df: DataFrame, locator=LOCATOR, tie_breakers=(), carry=NARR
     most = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     if size > most:
         losers = losers.hint("shuffle_hash")
-    whole = df.join(losers, list(locator), "left_anti").drop(*[c for c in locator if c in LOCATOR])
+    kept = df.join(losers, list(locator), "left_anti")
+    whole = (kept if make is None else make(kept)).drop(*[c for c in locator if c in LOCATOR])
     return winners, whole
 
 

@@ -297,7 +297,6 @@ def q_jobs_deduplicated_late(spark, sf_dir):
     from hirelake.operators import silver as S
     from hirelake.plans.queries import d2s, ts2s
     stored = _union([S.located(df) for df in A.raw_tables(spark, sf_dir, with_key=True).values()])
-    standard = S.standardize(stored, keep=("row_key", *S.LOCATOR))
-    _, whole = S.deduplicate_late(standard, tie_breakers=("row_key",))
+    _, whole = S.deduplicate_late(stored, tie_breakers=("row_key",), carry=(), make=lambda rows: S.standardize(rows, keep=("row_key", *S.LOCATOR)))
     return whole.select("row_key", "source_id", "job_title", "job_description", "company_name", "location", d2s("posted_date").alias("posted_date"), "job_url",
                         SK.skills_text("skills_normalized").alias("skills_normalized"), "salary_info", ts2s("ingested_at").alias("ingested_at"))

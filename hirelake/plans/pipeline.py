@@ -91,8 +91,7 @@ def build_marts(raw_frames: list[DataFrame], out: str | None = None) -> Marts:
     Duplicates are ranked without texts; the narrow winners feed the three
     aggregated marts, and only the curated one reads texts again.
     """
-    standard = S.standardize(S.union_all(raw_frames, locate=True), keep=S.LOCATOR)
-    winners, dedup = S.deduplicate_late(standard)
+    winners, dedup = S.deduplicate_late(S.union_all(raw_frames, locate=True), make=lambda rows: S.standardize(rows, keep=S.LOCATOR))
     curated = G.curate(dedup)
     volume = G.posting_volume(winners)
     marts = Marts(dedup, curated, volume, G.skill_demand(S.skills_long(winners)), G.cross_source_urls(winners))

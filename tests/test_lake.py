@@ -2,6 +2,7 @@
 import datetime as dt
 import os
 import random
+import re
 import uuid
 
 import pytest
@@ -269,3 +270,25 @@ def test_health_is_read_from_footers(spark, tmpdir_path):
     assert sorted(map(tuple, h.collect())) == [("gone", None, None, "not_found"), ("t", 9, dt.datetime(2024, 1, 9), None)]
     plan = stored_health(spark, {"t": path})._jdf.queryExecution().executedPlan().toString()
     assert "PushedAggregation: [COUNT(*), MAX(ingested_at)]" in plan
+
+
+def test_late_rows_are_made_standard_behind_the_join(spark):
+    """Losers are not parsed a second time; what ranks rows is small enough to be compiled by the JVM."""
+    from hirelake.operators import silver as S
+    rows = [("s", "S", " A ", None, "c\t", "l", None, f"HTTPS://u/{i % 4} ", '["x", " "]', None, f"2024-01-0{1 + i % 5}", i) for i in range(40)]
+    raw = spark.createDataFrame(rows, "source_id string, source_name string, job_title string, job_description string, company_name string, location string,"
+                                "posted_date string, job_url string, skills string, salary_info string, ingested_at string, id int")
+    raw = raw.withColumns({"posted_date": F.to_date(F.lit("2024-01-01")), "ingested_at": F.col("ingested_at").cast("timestamp_ntz")})
+    stored = S.located(raw)
+    make = lambda d: S.standardize(d, keep=("id", *S.LOCATOR))
+    winners, whole = S.deduplicate_late(stored, tie_breakers=("id",), carry=(), make=make)
+    plain = S.deduplicate(S.standardize(raw, keep=("id",)), tie_breakers=("id",)).select("id", "skills_normalized", "job_title", "job_url")
+    assert sorted(whole.select(plain.columns).collect()) == sorted(plain.collect()) and plain.count() == 4
+    assert "skills_normalized" not in winners.columns and winners.count() == 4
+    assert {(r._has_title, r._has_description) for r in winners.collect()} == {(True, False)}
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("from_json") < plan.index("Join LeftAnti")  # printed from the top
+    keys = S.ranking_keys(make(stored), tie_breakers=("id",), carry=(), standard=True)
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$").__getattr__("MODULE$")
+    code = debug.codegenString(keys._jdf.queryExecution().executedPlan())
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)) < 8000
